@@ -2,8 +2,16 @@
 
 from __future__ import annotations
 
-from . import line_dedup, quality_rules
-from .common import ready, table
+from . import line_dedup, packing, quality_rules, source_mix
+from .common import table
+
+
+def op1_best_fit_packing(spark, sf_dir):
+    return packing.report(table(spark, sf_dir, "documents"))
+
+
+def op3_source_mix(spark, sf_dir):
+    return source_mix.report(table(spark, sf_dir, "documents"))
 
 
 def op4_quality_rules(spark, sf_dir):
@@ -14,5 +22,5 @@ def op6_line_dedup(spark, sf_dir):
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op6_line_dedup)}
-ORACLE_SQL = {"op4_quality_rules": quality_rules.oracle(), "op6_line_dedup": line_dedup.oracle()}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_source_mix, op4_quality_rules, op6_line_dedup)}
+ORACLE_SQL = {"op3_source_mix": source_mix.oracle(), "op4_quality_rules": quality_rules.oracle(), "op6_line_dedup": line_dedup.oracle()}
