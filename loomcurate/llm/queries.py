@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import line_dedup, packing, quality_rules, source_mix
+from . import language_id, license_scan, line_dedup, packing, quality_rules, secret_scan, source_mix
 from .common import table
 
 
@@ -18,9 +18,21 @@ def op4_quality_rules(spark, sf_dir):
     return quality_rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_secret_scan(spark, sf_dir):
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
 def op6_line_dedup(spark, sf_dir):
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_source_mix, op4_quality_rules, op6_line_dedup)}
+def op7_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op9_language_id(spark, sf_dir):
+    return language_id.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_source_mix, op4_quality_rules, op5_secret_scan, op6_line_dedup, op7_license_scan, op9_language_id)}
 ORACLE_SQL = {"op3_source_mix": source_mix.oracle(), "op4_quality_rules": quality_rules.oracle(), "op6_line_dedup": line_dedup.oracle()}
