@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard_join, language_id, license_scan, line_dedup, packing, quality_rules, secret_scan, source_mix, vector_search
+from . import chat_format, jaccard_join, language_id, license_scan, line_dedup, packing, quality_rules, secret_scan, source_mix, vector_search
 from .common import table
 
 
@@ -10,6 +10,10 @@ def op1_best_fit_packing(spark, sf_dir):
     return packing.report(table(spark, sf_dir, "documents"))
 
 
+def op2_chat_format(spark, sf_dir):
+    return chat_format.report(table(spark, sf_dir, "conversations"))
+
+
 def op3_source_mix(spark, sf_dir):
     return source_mix.report(table(spark, sf_dir, "documents"))
 
@@ -42,5 +46,5 @@ def op10_jaccard_join(spark, sf_dir):
     return jaccard_join.report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_source_mix, op4_quality_rules, op5_secret_scan, op6_line_dedup, op7_license_scan, op8_vector_search, op9_language_id, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op2_chat_format, op3_source_mix, op4_quality_rules, op5_secret_scan, op6_line_dedup, op7_license_scan, op8_vector_search, op9_language_id, op10_jaccard_join)}
 ORACLE_SQL = {"op10_jaccard_join": jaccard_join.oracle(), "op3_source_mix": source_mix.oracle(), "op4_quality_rules": quality_rules.oracle(), "op6_line_dedup": line_dedup.oracle()}
