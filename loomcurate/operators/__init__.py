@@ -1 +1 @@
-"""See the modules."""
+"""Relational operators of the curation pipeline, DataFrame to DataFrame."""
