@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import ready
+
 BLOCK = 4096
 
 
@@ -39,6 +41,7 @@ def max_similarity(rows: DataFrame, key: str, vector: str, block: int = BLOCK) -
 
     Null vectors get 0 and are nobody's neighbour. ``key`` should be unique; rows of one id share the largest value.
     """
+    ready(rows.sparkSession)
     kind = rows.schema[key].dataType.simpleString()
     some = rows.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
     blocks = max(1, math.ceil(some.count() / block))
@@ -46,8 +49,8 @@ def max_similarity(rows: DataFrame, key: str, vector: str, block: int = BLOCK) -
     # block b meets every block c: as the left side where b <= c, as the right one where b > c
     tile = F.explode(F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda c: F.struct(F.least(own, c).alias("a"), F.greatest(own, c).alias("b"))))
     dealt = some.withColumn("own", own).withColumn("tile", tile).withColumn("side", F.when(F.col("own") == F.col("tile.a"), 0).otherwise(1))
-    best = dealt.groupBy("tile").applyInPandas(_tile, f"id {kind}, best double").groupBy("id").agg(F.max("best").alias("best"))
-    joined = rows.select(key).join(best, F.col(key) == F.col("id"), "left")
+    best = dealt.groupBy("tile").applyInPandas(_tile, f"id {kind}, best double").groupBy(F.col("id").alias("_of")).agg(F.max("best").alias("best"))
+    joined = rows.select(key).join(best, F.col(key) == F.col("_of"), "left")
     return joined.select(key, F.round(F.greatest(F.coalesce("best", F.lit(0.0)), F.lit(0.0)), 6).alias("max_sim"))
 
 

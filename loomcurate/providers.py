@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import taxonomy
+from .runtime import ready
 from .settings import Settings
 
 
@@ -135,6 +136,7 @@ def make(settings: Settings, model: str | None = None) -> Provider:
 
 def ask(rows: DataFrame, call: Callable[[Provider, dict], str | None], into: str, factory: Callable[[], Provider], threads: int = 10) -> DataFrame:
     """``rows`` with the reply in ``into``; rows whose call failed or gave None go."""
+    ready(rows.sparkSession)
     names = rows.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import keyed
+from ..runtime import ready
 from ..schemas import DISCOVERED, FEEDS
 
 Fetch = Callable[[str], tuple[int, str]]
@@ -42,6 +43,7 @@ def opml_feeds(documents: DataFrame, xml: str = "xml") -> DataFrame:
                         rows.append((o.get("text") or o.get("title") or "Unknown", o.get("xmlUrl"), o.get("htmlUrl"), len(rows)))
             yield pd.DataFrame(rows, columns=["name", "feed_url", "site_url", "position"])
 
+    ready(documents.sparkSession)
     return documents.select(F.col(xml).alias("xml")).mapInPandas(run, f"{FEEDS.ddl}, position int")
 
 
@@ -104,6 +106,7 @@ def feed_posts(feeds: DataFrame, fetch: Fetch = http_fetch, concurrency: int = 2
                 found = [r for rows in pool.map(one, part.rename(columns={"name": "name_"}).itertuples(index=False)) for r in rows]
                 yield pd.DataFrame(found, columns=names)
 
+    ready(feeds.sparkSession)
     return feeds.select("name", "feed_url", "position").mapInPandas(run, f"{DISCOVERED.ddl}, published string, feed_position int, entry_position int")
 
 
@@ -134,6 +137,7 @@ def fetch_pages(posts: DataFrame, fetch: Fetch = http_fetch, concurrency: int =
                 part = part.assign(html=list(pool.map(one, part["url"])))
                 yield part[part["html"].notna()]
 
+    ready(posts.sparkSession)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in posts.schema.fields)
     return posts.mapInPandas(run, f"{schema}, html string")
 
