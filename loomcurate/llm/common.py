@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 import atexit
-import os
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import ready  # noqa: F401  (for the operators)
+
 #: White space between words (fixed by the contracts): space and U+0009 to U+000D.
 GAP = "[\\x20\\x09-\\x0D]+"
 BLANKS = " \t\n\x0b\x0c\r"
-REPOSITORY = str(Path(__file__).resolve().parents[2])
 _written: list[tuple[SparkSession, str]] = []
 
 
@@ -44,14 +43,6 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def ready(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever it was imported from."""
-    env = spark.sparkContext.environment
-    path = env.get("PYTHONPATH", "")
-    if REPOSITORY not in path.split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (REPOSITORY, path) if x)
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: that of spark.checkpoint.dir, or in tests one of our own."""
     sc = spark.sparkContext
