@@ -45,6 +45,8 @@ TILE = 1_500
 SIGNATURE_BITS = 4096
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
 _KNOWN_WORDS = 2_000_000
+#: Most bits of the bitmap that a second scan is filtered by: 8 MB.
+NAME_BITS = 1 << 26
 
 
 class Shingler:
@@ -229,24 +231,48 @@ def _tile(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
-    """(cls, hashes) of the documents named by ``wanted`` (doc_id, digest), read and shingled again."""
-    named, digest = F.col("wanted_id"), F.xxhash64(F.col(text))
-    some = docs.select(key, text).join(wanted, F.col(key).eqNullSafe(named) & (digest == F.col("wanted_digest")), "left_semi")
+    """(cls, hashes) of the documents named by ``wanted`` (wanted_id, wanted_digest), read and shingled again.
+
+    A bitmap of hashed names, of at most ``NAME_BITS`` bits, picks the rows inside the scan, so texts are not shuffled;
+    the few rows it takes by mistake find no class later. Where the names are too many for it, a semi join picks them.
+    """
+    name = lambda doc, digest, bits: F.pmod(F.xxhash64(doc, digest), F.lit(bits)) + 1
+    n = wanted.count()
+    bits = 1 << max(15, math.ceil(math.log2(16 * n + 1)))
+    rows = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("digest"))
+    if bits <= NAME_BITS:
+        at = wanted.select(name("wanted_id", "wanted_digest", bits).alias("at"))
+        pages = at.groupBy(F.bitmap_bucket_number("at").alias("page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("map")).collect()  # of 4 KB each
+        whole = bytearray(bits // 8)
+        for page in pages:  # name p is bit (p - 1) % 32768 of page (p - 1) // 32768 + 1
+            start = (page["page"] - 1) * 4096
+            whole[start : start + 4096] = page["map"]
+        sent = docs.sparkSession.sparkContext.broadcast(bytes(whole))
+        rows = rows.select("text", F.bitmap_bucket_number(name("doc", "digest", bits)).alias("page"), F.bitmap_bit_position(name("doc", "digest", bits)).alias("at"))
+    else:
+        sent = None
+        same = F.col("doc").eqNullSafe(F.col("wanted_id")) & (F.col("digest") == F.col("wanted_digest"))
+        rows = rows.join(wanted, same, "left_semi").select("text", F.lit(0).alias("page"), F.lit(0).alias("at"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler()
+        marks = None if sent is None else np.frombuffer(sent.value, dtype=np.uint8)
         for batch in batches:
-            found = [shingles(v.as_py()) for v in batch.column(0)]
+            if marks is None:
+                chosen = range(batch.num_rows)
+            else:
+                page, at = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (1, 2))
+                chosen = np.flatnonzero((marks[(page - 1) * 4096 + at // 8] >> (at % 8)) & 1).tolist()
+            found = [shingles(batch.column(0)[i].as_py()) for i in chosen]
             yield pa.RecordBatch.from_arrays([pa.array([class_of(f) for f in found], pa.int64()), pa.array([f.astype("<u8").tobytes() for f in found], pa.binary())], names=["cls", "hashes"])
 
-    return some.select(text).mapInArrow(run, "cls long, hashes binary").dropDuplicates(["cls"])
+    return rows.mapInArrow(run, "cls long, hashes binary")
 
 
-def _links(docs: DataFrame, key: str, text: str, rows: DataFrame, blocks: DataFrame, tile: int) -> DataFrame:
-    """(a, b): links between classes, spanning each tile's components."""
-    classes = rows.where("n > 0").join(blocks, F.col("cls") == F.col("node")).groupBy("component", "cls", "n").agg(F.min(F.struct("doc_id", "digest")).alias("one"))
-    classes = stored(classes)
-    wanted = classes.select(F.col("one.doc_id").alias("wanted_id"), F.col("one.digest").alias("wanted_digest")).distinct()
+def _links(docs: DataFrame, key: str, text: str, firsts: DataFrame, blocks: DataFrame, tile: int) -> DataFrame:
+    """(a, b): links between classes, spanning each tile's components. ``firsts``: cls, n, first (a row per class)."""
+    classes = stored(firsts.join(blocks, F.col("cls") == F.col("node")).select("component", "cls", "n", "first"))
+    wanted = classes.select(F.col("first.doc_id").alias("wanted_id"), F.col("first.digest").alias("wanted_digest"))
     sets = _sets(docs, key, text, wanted)
     counted = classes.groupBy("component").agg(F.count("*").alias("members"))
     members = classes.join(counted, "component").select("component", "cls", "n", "members")
@@ -263,7 +289,8 @@ def _links(docs: DataFrame, key: str, text: str, rows: DataFrame, blocks: DataFr
     first = meet.select("component", F.col("band_a").alias("band"), name, F.lit(0).alias("side"))
     second = meet.where("band_a < band_b").select("component", F.col("band_b").alias("band"), name, F.lit(1).alias("side"))
     tiled = large.join(first.unionByName(second), ["component", "band"]).select("cls", F.col("component").alias("block"), "tile", "side")
-    dealt = small.unionByName(tiled).join(sets, "cls")
+    named = sets.join(classes.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
+    dealt = small.unionByName(tiled).join(named, "cls")
     return dealt.groupBy("tile").applyInPandas(_tile, "a long, b long")
 
 
@@ -284,9 +311,9 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", tile: int = T
     prefixes = stored(homes.groupBy("home").cogroup(shared.groupBy("home")).applyInPandas(_prefixes, "code long, cls long"))
     hubs = prefixes.groupBy("code").agg(F.min("cls").alias("hub"))
     candidates = components(prefixes.join(hubs, "code"), "cls", "hub")
-    links = stored(_links(docs, key, text, rows, candidates, tile))
+    firsts = stored(rows.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), _first()))  # copies are combined before the shuffle
+    links = stored(_links(docs, key, text, firsts, candidates, tile))
     groups = components(links, "a", "b")
-    firsts = rows.where("n > 0").groupBy("cls").agg(_first())
     named = firsts.join(groups, F.col("cls") == F.col("node"), "left").select("cls", F.coalesce("component", "cls").alias("group"), "first")
     named = stored(named)
     least = named.groupBy("group").agg(F.min_by("first", F.struct(F.col("first.doc_id").isNull(), "first")).alias("component"))
@@ -303,11 +330,11 @@ def _first():
 def apply(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each component, the first; documents without words all stay."""
     firsts = join(docs, key, text, **options).where("component is not null").select("component.*").distinct()
-    firsts = firsts.select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
-    (digest,) = fresh(docs, "text_digest")
+    digest, of, of_digest = fresh(docs, "text_digest", "kept_of", "kept_of_digest")
+    firsts = firsts.select(F.col("doc_id").alias(of), F.col("digest").alias(of_digest))
     keyed = docs.withColumn(digest, F.xxhash64(F.col(text)))
     empty = F.coalesce(F.btrim(F.col(text), F.lit(BLANKS)) == "", F.lit(True))
-    kept = keyed.where(~empty).join(firsts, F.col(key).eqNullSafe(F.col("kept_id")) & (F.col(digest) == F.col("kept_digest")), "left_semi")
+    kept = keyed.where(~empty).join(firsts, F.col(key).eqNullSafe(F.col(of)) & (F.col(digest) == F.col(of_digest)), "left_semi")
     return kept.dropDuplicates([key, digest]).select(*docs.columns).unionByName(docs.where(empty))
 
 

@@ -45,8 +45,8 @@ def corpus(seed, groups=25):
         for _ in range(rng.choice([1, 1, 2, 5, 12])):
             copy = list(base)
             for _ in range(rng.choice([0, 0, 1, 2, 5])):
-                at = rng.randrange(len(copy))
-                copy[at : at + 1] = rng.choice([[], [rng.choice(words)], [copy[at], "Extra"]])
+                at = rng.randrange(len(copy)) if copy else 0
+                copy[at : at + 1] = rng.choice([[], [rng.choice(words)], [*copy[at : at + 1], "Extra"]])
             if rng.random() < 0.4:
                 copy += passage
             rows.append(" ".join(w.upper() if rng.random() < 0.1 else w for w in copy) + rng.choice(["", "\n"]))
@@ -72,6 +72,17 @@ def test_apply_keeps_one_of_each(spark):
     assert jj.apply(docs.limit(0)).count() == 0 and jj.report(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [1 << 26, 1])
+def test_second_scan_finds_the_named_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(jj, "NAME_BITS", most)
+    rows = [(i if i % 50 else None, f"text number {i} of a few") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    named = docs.where("hash(text) % 2 = 0").selectExpr("doc_id as wanted_id", "xxhash64(text) as wanted_digest")
+    want = {jj.class_of(jj.Shingler()(r["text"])) for r in docs.where("hash(text) % 2 = 0").collect()}
+    got = {r["cls"] for r in jj._sets(docs, "doc_id", "text", named).collect()}
+    assert want <= got and len(got) < len(want) * 1.2
+
+
 def test_prefix_length_is_enough():
     for n in range(1, 400):
         assert jj.prefix_length(n) == n - (-(-80 * n // 100)) + 1
