@@ -45,7 +45,7 @@ def test_novelty_tells_keys_from_words():
     assert not [s for s in ss.spans("nothing near " + key) if s[2] == "novel"]
     name = "RefreshAccessTokenHandler2"
     assert not [s for s in ss.spans(f"{name} calls bearer {name} and {name}") if s[2] == "novel"]  # explained by its surroundings
-    assert ss.novelty(key, key) < 0.3 < ss.novelty(key, "")
+    assert ss.novelty(key, key) < ss.NOVELTY <= ss.novelty(key, "")
 
 
 def test_redact_and_scan(spark):

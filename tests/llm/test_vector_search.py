@@ -7,7 +7,8 @@ SCHEMA = "vec_id long, embedding array<float>, label int, vid string, rank int"
 
 
 def frame(spark, items):
-    return spark.createDataFrame([(i, v, 0, "x", 1) for i, v in items], SCHEMA)
+    plain = [(i, v if v is None else [x if x is None else float(x) for x in v], 0, "x", 1) for i, v in items]
+    return spark.createDataFrame(plain, SCHEMA)
 
 
 def brute(items, nearest=20, every=20):
