@@ -50,7 +50,7 @@ def boilerplate(rows: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -
     certain = candidates.where(F.col("sites") > min_sites + margin).select("line")
     near = found.where(F.col("sites") <= min_sites + margin).select("line", "site").distinct()
     exact = near.groupBy("line").agg(F.count("*").alias("exact")).where(F.col("exact") >= min_sites).select("line")
-    return certain.unionByName(exact), found
+    return stored(certain.unionByName(exact)), found  # of known size: if small, the places are not shuffled to meet it
 
 
 def removals(rows: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
@@ -58,7 +58,7 @@ def removals(rows: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> D
     lines, found = boilerplate(rows, min_sites, lg_k)
     place = F.struct("doc", "digest", "place")
     hits = stored(found.drop("sites").join(lines, "line"))
-    first = hits.groupBy("line").agg(F.min(place).alias("first"))
+    first = stored(hits.groupBy("line").agg(F.min(place).alias("first")))
     later = hits.join(first, "line").where(~place.eqNullSafe(F.col("first")))
     return later.groupBy("doc", "digest").agg(F.collect_set("place").alias("gone"))
 
@@ -68,12 +68,11 @@ def clean(
     n_lines: str | None = None, n_removed: str | None = None,
 ) -> DataFrame:
     """``docs`` with boilerplate lines removed from ``text``; optional columns count lines and removed lines."""
-    digest, gone = fresh(docs, "text_digest", "gone_lines")
-    gone_rows = removals(places(docs, key, site, text), min_sites, lg_k).select(
-        F.col("doc").alias("gone_doc"), F.col("digest").alias("gone_digest"), F.col("gone").alias(gone)
-    )
+    digest, gone, of, of_digest = fresh(docs, "text_digest", "gone_lines", "gone_of", "gone_of_digest")
+    gone_rows = removals(places(docs, key, site, text), min_sites, lg_k)
+    gone_rows = gone_rows.select(F.col("doc").alias(of), F.col("digest").alias(of_digest), F.col("gone").alias(gone))
     keyed = docs.withColumn(digest, F.xxhash64(F.col(text)))
-    joined = keyed.join(gone_rows, F.col(key).eqNullSafe(F.col("gone_doc")) & (F.col(digest) == F.col("gone_digest")), "left")
+    joined = keyed.join(gone_rows, F.col(key).eqNullSafe(F.col(of)) & (F.col(digest) == F.col(of_digest)), "left")
 
     def rewrite(lines: Column) -> Column:
         stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
