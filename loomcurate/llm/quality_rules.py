@@ -1,11 +1,11 @@
 """Quality rules with risk-controlled thresholds.
 
-Every text gets simple counts (words, symbols, repeated lines, repeated three-word windows) and a junk score,
-the largest of three shares. A labelled holdout then picks, for each stratum, the smallest cutoff of a fixed grid
+Every text gets simple counts (words, symbols, repeated lines, repeated three-word windows), and each rule a score, a
+share between two of them. A labelled holdout then picks, for each stratum and rule, the smallest cutoff of a fixed grid
 whose false rejection rate is certified: with k of n good documents above the cutoff, the exact binomial tail
-P(Bin(n, limit) <= k) must not exceed confidence_error / (strata * cutoffs), the Bonferroni share of one test. So with
-probability 1 - confidence_error, no stratum loses more than ``limit`` of its good documents. The score is not fitted,
-so all labelled rows are holdout. A stratum without a certified cutoff rejects by the base rules only.
+P(Bin(n, limit / rules) <= k) must not exceed confidence_error / (strata * rules * cutoffs), the Bonferroni share of one
+test. So with probability 1 - confidence_error, the rules together lose no stratum more than ``limit`` of its good
+documents. Scores are not fitted, so all labelled rows are holdout. Where no cutoff is certified, a rule rejects nothing.
 
 Only DataFrame expressions are used; the counts are computed inside each row, without a shuffle.
 
@@ -25,7 +25,9 @@ from .common import BLANKS, bound, fresh, stored, words
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-#: Candidate cutoffs of the junk score, set before seeing data.
+#: The rules: symbols per character, repeated share of lines, repeated share of words.
+RULES = (("n_symbols", "word_chars"), ("n_dup_lines", "n_lines"), ("n_repeat_words", "n_words"))
+#: Candidate cutoffs of each rule's score, set before seeing data.
 CUTOFFS = tuple(round(0.02 * i, 2) for i in range(1, 26))
 LIMIT, CONFIDENCE_ERROR = 0.02, 0.05
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -77,12 +79,9 @@ def counts(text: Column, tokens: Column) -> Column:
     )
 
 
-def junk_score(c: Column) -> Column:
-    """Largest of: symbols per character, repeated share of lines, repeated share of words."""
-    share = lambda a, b: a.cast("double") / F.greatest(b, F.lit(1)).cast("double")
-    return F.greatest(
-        share(c["n_symbols"], c["word_chars"]), share(c["n_dup_lines"], c["n_lines"]), share(c["n_repeat_words"], c["n_words"])
-    )
+def scores(c: Column) -> Column:
+    """The rules' scores, in order."""
+    return F.array(*[c[a].cast("double") / F.greatest(c[b], F.lit(1)).cast("double") for a, b in RULES])
 
 
 def base_failed(c: Column) -> Column:
@@ -120,38 +119,43 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
 
 
 def thresholds(scored: DataFrame, labels: DataFrame, limit: float = LIMIT, error: float = CONFIDENCE_ERROR, cutoffs=CUTOFFS) -> DataFrame:
-    """(stratum, n_good, cutoff): the smallest certified cutoff of each stratum, null if there is none.
+    """(stratum, n_good, cutoffs): the smallest certified cutoff of each rule, null where there is none.
 
-    ``scored``: doc_id, stratum, score; ``labels``: doc_id, quality (1 is good).
+    ``scored``: doc_id, stratum, scores (an array, one for each rule); ``labels``: doc_id, quality (1 is good).
     """
     good = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality")).where("quality = 1")
-    held = scored.where("score is not null").join(good.select("doc_id"), "doc_id")
-    above = [F.count_if(F.col("score") > c).alias(f"k{i}") for i, c in enumerate(cutoffs)]
+    held = scored.where("scores is not null").join(good.select("doc_id"), "doc_id")
+    cells = [(r, i, c) for r in range(len(RULES)) for i, c in enumerate(cutoffs)]
+    above = [F.count_if(F.col("scores")[r] > c).alias(f"k{r}_{i}") for r, i, c in cells]
     found = stored(held.groupBy("stratum").agg(F.count("*").alias("n_good"), *above))
-    tests = max(1, found.count()) * len(cutoffs)
-    trial = F.explode(F.array(*[F.struct(F.lit(c).alias("cutoff"), F.col(f"k{i}").alias("k")) for i, c in enumerate(cutoffs)]))
+    tests = max(1, found.count()) * len(cells)
+    trial = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"k{r}_{i}").alias("k")) for r, i, c in cells]))
     trials = found.select("stratum", "n_good", trial.alias("trial")).select("stratum", "n_good", "trial.*")
-    passed = binomial_tail(F.col("n_good"), F.col("k"), limit) <= error / tests
-    return trials.groupBy("stratum", "n_good").agg(F.min(F.when(passed, F.col("cutoff"))).alias("cutoff"))
+    passed = trials.where(binomial_tail(F.col("n_good"), F.col("k"), limit / len(RULES)) <= error / tests)
+    least = [F.min(F.when(F.col("rule") == r, F.col("cutoff"))) for r in range(len(RULES))]
+    return passed.groupBy("stratum", "n_good").agg(F.array(*least).alias("cutoffs"))
 
 
 def measure(docs: DataFrame, text: str = "text", stratum: str = "lang", keep_columns: list[str] | None = None, into: str = "counts") -> DataFrame:
-    """The columns ``keep_columns`` of ``docs`` with a struct ``into``: counts, stratum, score, base_failed."""
+    """The columns ``keep_columns`` of ``docs`` with a struct ``into``: counts, stratum, scores, base_failed."""
     kept = docs.columns if keep_columns is None else keep_columns
     (tokens, c) = fresh(docs, "tokens", "measured")
     rows = docs.withColumn(tokens, words(docs[text])).withColumn(c, counts(F.col(text), F.col(tokens)))
     return rows.select(
         *kept,
-        F.struct(F.col(f"{c}.*"), F.col(stratum).alias("stratum"), junk_score(F.col(c)).alias("score"), base_failed(F.col(c)).alias("base_failed")).alias(into),
+        F.struct(F.col(f"{c}.*"), F.col(stratum).alias("stratum"), scores(F.col(c)).alias("scores"), base_failed(F.col(c)).alias("base_failed")).alias(into),
     )
 
 
 def judge(measured: DataFrame, labels: DataFrame, into: str = "counts", verdict: str = "kept", **options) -> DataFrame:
     """``measured`` (stored, as it is read twice) with a boolean ``verdict``."""
-    scored = measured.select("doc_id", F.col(f"{into}.stratum").alias("stratum"), F.col(f"{into}.score").alias("score"))
-    limits = thresholds(scored, labels, **options).select(F.col("stratum").alias("limit_stratum"), F.col("cutoff").alias("limit_cutoff"))
-    kept = ~F.col(f"{into}.base_failed") & ~F.coalesce(F.col(f"{into}.score") > F.col("limit_cutoff"), F.lit(False))
-    joined = measured.join(limits, F.col(f"{into}.stratum").eqNullSafe(F.col("limit_stratum")), "left")
+    scored = measured.select("doc_id", F.col(f"{into}.stratum").alias("stratum"), F.col(f"{into}.scores").alias("scores"))
+    at, cut = fresh(measured, "limit_stratum", "limit_cutoffs")
+    limits = thresholds(scored, labels, **options).select(F.col("stratum").alias(at), F.col("cutoffs").alias(cut))
+    joined = measured.join(limits, F.col(f"{into}.stratum").eqNullSafe(F.col(at)), "left")
+    kept = ~F.col(f"{into}.base_failed")
+    for r in range(len(RULES)):
+        kept = kept & ~F.coalesce(F.col(f"{into}.scores")[r] > F.col(cut)[r], F.lit(False))
     return joined.select(*measured.columns, kept.alias(verdict))
 
 
@@ -171,7 +175,7 @@ def report(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 def oracle(limit: float = LIMIT, error: float = CONFIDENCE_ERROR, cutoffs=CUTOFFS) -> str:
     """DuckDB SQL for ``report`` over the tables documents and labels."""
-    grid = ", ".join(f"({c})" for c in cutoffs)
+    grid, share = ", ".join(f"({c})" for c in cutoffs), limit / len(RULES)
     return f"""
 with d as (select row_number() over () rid, doc_id, lang, coalesce(text, '') t from documents),
 w as (select *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) ls from d),
@@ -182,13 +186,13 @@ c as (select doc_id, lang, len(ws)::bigint n_words, length(regexp_replace(t, '[\
   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::bigint n_symbols, (len(ls) - len(list_distinct(ls)))::bigint n_dup_lines,
   coalesce(hit.n, 0)::bigint n_repeat_words, len(ls) n_lines from w left join hit using (rid)),
 s as (select *, n_words < {MIN_WORDS} or 100 * n_repeat_words > {REPEAT_PERCENT} * n_words base_failed,
-  greatest(n_symbols::double / greatest(word_chars, 1), n_dup_lines::double / greatest(n_lines, 1), n_repeat_words::double / greatest(n_words, 1)) score from c),
+  [n_symbols::double / greatest(word_chars, 1), n_dup_lines::double / greatest(n_lines, 1), n_repeat_words::double / greatest(n_words, 1)] scores from c),
 good as (select doc_id from labels where doc_id is not null and quality is not null group by 1 having max(quality) = 1),
-held as (select lang, score from s join good using (doc_id)),
+held as (select lang, unnest(scores) score, unnest(range(1, 4)) r from s join good using (doc_id)),
 grid(cut) as (values {grid}),
-k as (select lang, cut, count(*) n, count(*) filter (score > cut) k from held, grid group by 1, 2),
-p as (select *, case when k >= n * {limit} then 1 else list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({limit}) + (n - j) * ln(1 - {limit})))) end tail, count(*) over () tests from k),
-cutoff as (select lang, min(cut) cut from p where tail <= {error} / tests group by 1)
+k as (select lang, r, cut, count(*) n, count(*) filter (score > cut) k from held, grid group by 1, 2, 3),
+p as (select *, case when k >= n * {share} then 1 else list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({share}) + (n - j) * ln(1 - {share})))) end tail, count(*) over () tests from k),
+cutoff as (select lang, min(cut) filter (r = 1) c1, min(cut) filter (r = 2) c2, min(cut) filter (r = 3) c3 from p where tail <= {error} / tests group by 1)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and not coalesce(score > cut, false) kept
+  not base_failed and not coalesce(scores[1] > c1, false) and not coalesce(scores[2] > c2, false) and not coalesce(scores[3] > c3, false) kept
 from s left join cutoff on s.lang is not distinct from cutoff.lang"""

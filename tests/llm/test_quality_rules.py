@@ -36,23 +36,24 @@ def test_binomial_tail_is_exact(spark, n, k, p):
 
 
 def test_thresholds_bound_false_rejections(spark):
-    # of 2,000 good documents in "a", 10 score above 0.1; "b" has too few labels; null is a stratum
-    scored = [(i, "a", 0.2 if i < 10 else 0.0) for i in range(2000)] + [(5000 + i, "b", 0.0) for i in range(20)] + [(9000 + i, None, 0.0) for i in range(1000)]
+    # of 3,000 good documents in "a", 10 have a first score above 0.1; "b" has too few labels; null is a stratum
+    scored = [(i, "a", [0.2 if i < 10 else 0.0, 0.0, 0.03]) for i in range(3000)] + [(5000 + i, "b", [0.0] * 3) for i in range(20)] + [(9000 + i, None, [0.0] * 3) for i in range(2000)]
     labels = [(i, 1) for i, _, _ in scored] + [(0, 0), (None, 1), (1, None), (77_777, 1)]
-    s = spark.createDataFrame(scored, "doc_id long, stratum string, score double")
-    got = {r["stratum"]: r["cutoff"] for r in qr.thresholds(s, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
-    assert got["b"] is None and got[None] == qr.CUTOFFS[0] and got["a"] is not None and got["a"] <= 0.2
-    strict = {r["stratum"]: r["cutoff"] for r in qr.thresholds(s, spark.createDataFrame(labels, "doc_id long, quality int"), limit=0.005).collect()}
-    assert strict["a"] == 0.2  # five in a thousand are too many at any lower cutoff
+    s, held = spark.createDataFrame(scored, "doc_id long, stratum string, scores array<double>"), spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r["stratum"]: r["cutoffs"] for r in qr.thresholds(s, held, limit=0.06).collect()}
+    first = qr.CUTOFFS[0]
+    assert "b" not in got and got[None] == [first] * 3 and got["a"] == [first, first, 0.04]  # the third rule spares 0.03
+    strict = {r["stratum"]: r["cutoffs"] for r in qr.thresholds(s, held, limit=0.015).collect()}
+    assert strict["a"][:2] == [0.2, first]  # ten in three thousand are too many at any lower cutoff
 
 
 def test_apply_keeps_columns_and_rejects_junk(spark):
     good, junk = " ".join(f"word{i}" for i in range(80)), " ".join(f"w{i}###" for i in range(80))
-    rows = [(i, good, "en", "a") for i in range(600)] + [(1000, junk, "en", "a"), (1001, good, None, "a"), (1001, good, None, "a"), (1002, "short", "en", "a"), (1003, None, None, None)]
+    rows = [(i, good, "en", "a") for i in range(1500)] + [(10_000, junk, "en", "a"), (10_001, good, None, "a"), (10_001, good, None, "a"), (10_002, "short", "en", "a"), (10_003, None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, counts_of_rules string")
-    labels = spark.createDataFrame([(i, 1) for i in range(600)] + [(1000, 0)], "doc_id long, quality int")
+    labels = spark.createDataFrame([(i, 1) for i in range(1500)] + [(10_000, 0)], "doc_id long, quality int")
     out = qr.apply(docs, labels)
     assert out.columns == docs.columns
     kept = [r["doc_id"] for r in out.select("doc_id").collect()]
-    assert 1000 not in kept and 1002 not in kept and 1003 not in kept and kept.count(1001) == 2 and len(kept) == 602
+    assert 10_000 not in kept and 10_002 not in kept and 10_003 not in kept and kept.count(10_001) == 2 and len(kept) == 1502
     assert qr.apply(docs.limit(0), labels).count() == 0
