@@ -63,6 +63,19 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written() -> list[tuple[SparkSession, str]]:
+    """What ``stored`` has written so far."""
+    return list(_written)
+
+
+def release(tables: list[tuple[SparkSession, str]]) -> None:
+    """Delete tables that ``stored`` wrote and that nothing will read again."""
+    for spark, path in tables:
+        if (spark, path) in _written:
+            _written.remove((spark, path))
+            _delete(spark, path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
