@@ -97,7 +97,7 @@ def _vectors(column) -> np.ndarray:
 class Layout:
     """Which blocks a bucket's rows and queries go to."""
 
-    def __init__(self, rows: dict[tuple[int, int, int], int], asked: dict[tuple[int, int, int], int], block_rows: int, block_queries: int):
+    def __init__(self, rows: dict[tuple[int, int, int], int], asked: dict[tuple[int, int, int], int], all_asked: int, block_rows: int, block_queries: int):
         self.blocks: dict[tuple[int, int, int], tuple[int, int]] = {}
         self.splits: dict[int, int] = {}
         block, filled, queries, table = -1, 0, 0, None
@@ -109,7 +109,7 @@ class Layout:
             self.blocks[place] = (block, parts)
             filled, queries = filled + n, queries + q
             for b in range(block, block + parts):
-                self.splits[b] = max(1, math.ceil(queries / block_queries))
+                self.splits[b] = max(1, math.ceil(min(queries, all_asked) / block_queries))  # a query counts once for each bucket it probes
             if parts > 1:
                 block, filled, queries, table = block + parts - 1, 0, 0, None
 
@@ -194,7 +194,7 @@ def search(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", ever
         asked = stored(vectors.join(vids.select("vid").distinct(), "vid", "left_semi").select("vid", "v").mapInArrow(probe, "vid long, vector binary, probes array<int>"))
         by_axis = asked.select(F.posexplode("probes").alias("i", "bucket")).groupBy(F.floor(F.col("i") / per_table).cast("int").alias("t"), "bucket").count()
         wanted = {(r["t"], r["bucket"]): r["count"] for r in by_axis.collect()}  # at most tables x axes x 2
-        layout = Layout(filled, {p: wanted.get(p[1:], 0) for p in filled}, BLOCK_ROWS, BLOCK_QUERIES)
+        layout = Layout(filled, {p: wanted.get(p[1:], 0) for p in filled}, asked.count(), BLOCK_ROWS, BLOCK_QUERIES)
         bands = sorted(tops)
 
         def send_rows(batches):
