@@ -404,6 +404,38 @@ def coverage_report(spark, sf_dir):
     return coverage.report(_pairs(spark, sf_dir, "p_brand", thin=True), names, domains, names, settings)
 
 
+_BRANDS = _PAIRS.format("brand", "")
+
+
+@query(f"with {_BRANDS}, {_UNDER} select primitive, domains_covered, coalesce(missing, '') missing from under")
+def undercovered_all(spark, sf_dir):
+    """``undercovered`` over all pairs."""
+    names, domains = _dimensions(spark, sf_dir, "p_brand")
+    found = coverage.undercovered(coverage.matrix(_pairs(spark, sf_dir, "p_brand")), names, domains, 15)
+    return found.withColumn("missing", F.array_join("missing", ","))
+
+
+@query(f"with {_BRANDS}, {_UNDER}, {_GAPS} select * from gaps")
+def priority_gaps_all(spark, sf_dir):
+    """``priority_gaps`` over all pairs."""
+    names, _ = _dimensions(spark, sf_dir, "p_brand")
+    return coverage.priority_gaps(coverage.matrix(_pairs(spark, sf_dir, "p_brand")), names, 25)
+
+
+@query(f"with {_BRANDS}, {_UNDER}, {_SKEW} select * from skew")
+def domain_imbalance_all(spark, sf_dir):
+    """``domain_imbalance`` over all pairs."""
+    return coverage.domain_imbalance(coverage.matrix(_pairs(spark, sf_dir, "p_brand")), 0.05)
+
+
+@query(ORACLE_SQL["coverage_report"].replace(_THIN, _BRANDS))
+def coverage_report_all(spark, sf_dir):
+    """``coverage_report`` over all pairs."""
+    names, domains = _dimensions(spark, sf_dir, "p_brand")
+    settings = Settings(min_domains=15, min_priority_examples=25, max_domain_share=0.05)
+    return coverage.report(_pairs(spark, sf_dir, "p_brand"), names, domains, names, settings)
+
+
 # ---- composition
 
 #: Targets by order priority: one above its pool at small scales, one class left out.

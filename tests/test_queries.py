@@ -48,3 +48,23 @@ def test_entry_runs(spark):
 
     assert __spark_entry__.entry(spark).count() == 200
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the driver's tables")
+def test_coverage_counts_all_pairs(spark, db):
+    n, brands = db.sql("select (select count(*) from lineitem), (select count(distinct p_brand) from part)").fetchall()[0]
+    got = QUERIES["coverage_report_all"](spark, DATA).first()
+    assert got["total_examples"] == n and got["unique_primitives"] == brands
+    assert "l_orderkey" not in ORACLE_SQL["coverage_report_all"]
+
+
+def test_coverage_rules_find_what_is_short(spark):
+    """The rules decide something: all pairs of the tables are dense at the larger sizes."""
+    from loomcurate.operators import coverage
+    from loomcurate.settings import Settings
+
+    pairs = spark.createDataFrame([("p", "a")] * 5 + [("p", "b")] + [("q", "a")] * 2, "primitive string, domain string")
+    names = spark.createDataFrame([("p",), ("q",), ("r",)], "name string")
+    domains = spark.createDataFrame([(0, "a"), (1, "b")], "position int, name string")
+    got = coverage.report(pairs, names, domains, names, Settings(min_domains=2, min_priority_examples=3, max_domain_share=0.5)).first()
+    assert tuple(got) == (8, 2, "q:1;r:0", "q:1;r:3", "a:7", False)
