@@ -13,9 +13,10 @@ def matrix(pairs: DataFrame, primitive: str = "primitive", domain: str = "domain
     return pairs.groupBy(F.col(primitive).alias("primitive"), F.col(domain).alias("domain")).agg(F.count("*").alias("n"))
 
 
-def pivot(pairs: DataFrame, domains: list[str], primitive: str = "primitive", domain: str = "domain") -> DataFrame:
-    """A row per primitive, a column per domain, 0 where there is none."""
+def pivot(pairs: DataFrame, domains: list[str], primitive: str = "primitive", domain: str = "domain", total: str | None = None) -> DataFrame:
+    """A row per primitive, a column per domain, 0 where there is none, and if named the ``total`` over all domains."""
     counts = [F.count_if(F.col(domain) == d).alias(d) for d in domains]
+    counts += [F.count("*").alias(total)] if total else []
     return pairs.groupBy(F.col(primitive).alias("primitive")).agg(*counts).orderBy("primitive")
 
 

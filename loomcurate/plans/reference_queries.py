@@ -362,6 +362,16 @@ def coverage_pivot(spark, sf_dir):
     return coverage.pivot(_pairs(spark, sf_dir, "p_type"), list(_COLUMNS))
 
 
+#: All of nation, a fixed table of 25 rows.
+_NATIONS = tuple(f"NATION_{i}" for i in range(25))
+
+
+@query(f"with {_DENSE} select primitive, " + ", ".join(f"count(*) filter (domain = '{c}') \"{c}\"" for c in _NATIONS) + ', count(*) "Total" from pairs group by 1')
+def coverage_pivot_all(spark, sf_dir):
+    """``coverage_pivot`` with a column for every nation, and the total over all pairs."""
+    return coverage.pivot(_pairs(spark, sf_dir, "p_type"), list(_NATIONS), total="Total")
+
+
 _UNDER = """c as (select primitive, domain, count(*) n from pairs group by 1, 2), names as (select distinct p_brand primitive from part),
 under as (select names.primitive, count(c.domain) domains_covered, string_agg(n_name, ',' order by n_nationkey) filter (c.domain is null) missing
 from names cross join nation left join c on c.primitive = names.primitive and c.domain = n_name group by 1 having count(c.domain) < 15)"""

@@ -68,3 +68,11 @@ def test_coverage_rules_find_what_is_short(spark):
     domains = spark.createDataFrame([(0, "a"), (1, "b")], "position int, name string")
     got = coverage.report(pairs, names, domains, names, Settings(min_domains=2, min_priority_examples=3, max_domain_share=0.5)).first()
     assert tuple(got) == (8, 2, "q:1;r:0", "q:1;r:3", "a:7", False)
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the driver's tables")
+def test_pivot_has_every_nation(spark, db):
+    names = [r[0] for r in db.sql("select n_name from nation order by n_nationkey").fetchall()]
+    got = QUERIES["coverage_pivot_all"](spark, DATA).toPandas()
+    assert list(got.columns) == ["primitive", *names, "Total"]
+    assert (got[names].sum(axis=1) == got["Total"]).all() and got["Total"].sum() == db.sql("select count(*) from lineitem").fetchall()[0][0]
