@@ -210,6 +210,13 @@ def prompt_fill(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", tx.fill(F.lit("Q: {question} of {domain} at {scale}"), values).alias("prompt"))
 
 
+@query(ORACLE_SQL["prompt_fill"].replace("substring(text, 1, 80)", "text"))
+def prompt_fill_all(spark, sf_dir):
+    """``prompt_fill`` with whole texts."""
+    values = {"question": F.concat("text", F.lit(" {domain}")), "domain": F.coalesce("source", F.lit("none")), "scale": F.col("lang")}
+    return _t(spark, sf_dir, "documents").select("doc_id", tx.fill(F.lit("Q: {question} of {domain} at {scale}"), values).alias("prompt"))
+
+
 _GROUND = """with l as (select doc_id post_id, quality, toxic, 0 pos from labels union all select doc_id, 1 - quality, toxic, 1 from labels where doc_id % 3 = 0),
 last as (select post_id, arg_max(quality, pos) quality, arg_max(toxic, pos) toxic from l group by post_id)
 select doc_id, case when post_id is null then 'unknown' else 'quality ' || quality end g_primitive,
@@ -513,6 +520,28 @@ def single_turn_chat(spark, sf_dir):
     return rows.select("doc_id", "position", "m.role", "m.content", "m.channel")
 
 
+#: First character after a third, and after two thirds, of a text: question, analysis and answer together hold all of it.
+_THIRDS = ("(length(text) // 3 + 1)", "(length(text) // 3 * 2 + 1)")
+_WHOLE_CHAT = "[" + ", ".join([
+    _message_sql("developer", _P), _message_sql("user", f"substring(text, 1, {_THIRDS[0]} - 1)"),
+    _message_sql("assistant", f"substring(text, {_THIRDS[0]}, {_THIRDS[1]} - {_THIRDS[0]})", "analysis"), _message_sql("assistant", f"substring(text, {_THIRDS[1]})", "final"),
+]) + "]"
+
+
+def _whole(spark, sf_dir) -> DataFrame:
+    t = F.col("text")
+    third = F.floor(F.char_length(t) / 3).cast("int")
+    messages = chat.single_turn(F.substring(t, F.lit(1), third), F.substring(t, third + 1, third), F.substring(t, third * 2 + 1, F.char_length(t)))
+    return _t(spark, sf_dir, "documents").select("doc_id", messages.alias("messages"))
+
+
+@query(ORACLE_SQL["single_turn_chat"].replace(_CHAT, _WHOLE_CHAT))
+def single_turn_chat_all(spark, sf_dir):
+    """``single_turn_chat`` with whole texts."""
+    rows = _whole(spark, sf_dir).select("doc_id", F.posexplode("messages").alias("position", "m"))
+    return rows.select("doc_id", "position", "m.role", "m.content", "m.channel")
+
+
 _TURNS = """t as (select conv_id, turn, text, lead(text) over w answer, lead(role) over w next_role, role from conversations where role <> 'system' window w as (partition by conv_id order by turn)),
 c as (select conv_id, list(struct_pack(u := text, a := answer) order by turn) turns from t where role = 'user' and next_role = 'assistant' group by conv_id),
 m as (select conv_id, [{0}] || flatten(list_transform(turns, lambda x: [{1}, {2}, {3}])) messages from c)""".format(
@@ -540,6 +569,12 @@ def chat_template(spark, sf_dir):
     return _single(spark, sf_dir).select("doc_id", chat.render(F.col("messages")).alias("text"))
 
 
+@query(f"select doc_id, {_RENDER.format(_WHOLE_CHAT)} as text from documents")
+def chat_template_all(spark, sf_dir):
+    """``chat_template`` with whole texts."""
+    return _whole(spark, sf_dir).select("doc_id", chat.render(F.col("messages")).alias("text"))
+
+
 @query(f"with {_TURNS} select conv_id, count(*) trained, sum(length(z.content))::bigint trained_chars from (select conv_id, unnest(messages) z from m) where z.role = 'assistant' and z.channel = 'final' group by 1")
 def response_mask(spark, sf_dir):
     masked = _conversations(spark, sf_dir).select("conv_id", F.filter(chat.response_mask(F.col("messages")), lambda m: m["train"]).alias("trained"))

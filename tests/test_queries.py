@@ -76,3 +76,14 @@ def test_pivot_has_every_nation(spark, db):
     got = QUERIES["coverage_pivot_all"](spark, DATA).toPandas()
     assert list(got.columns) == ["primitive", *names, "Total"]
     assert (got[names].sum(axis=1) == got["Total"]).all() and got["Total"].sum() == db.sql("select count(*) from lineitem").fetchall()[0][0]
+
+
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the driver's tables")
+def test_chats_and_prompts_hold_whole_texts(spark):
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    said = {}
+    for r in QUERIES["single_turn_chat_all"](spark, DATA).orderBy("doc_id", "position").collect():
+        said.setdefault(r["doc_id"], []).append(r["content"])
+    assert {d: "".join(parts[1:]) for d, parts in said.items()} == texts
+    assert all(parts[3] in r["text"] for r in QUERIES["chat_template_all"](spark, DATA).collect() for parts in [said[r["doc_id"]]])
+    assert all(texts[r["doc_id"]].split("{")[0] in r["prompt"] for r in QUERIES["prompt_fill_all"](spark, DATA).collect())
