@@ -1,15 +1,17 @@
 """License scans: winnowed fingerprints find candidates, banded alignment confirms them.
 
-Templates (notices and license texts, a fixed small set) are split into lower-case ASCII words; every four-word gram gets
+Templates (whole texts, headers and notices of common licenses, ``license_texts``) are split into lower-case ASCII words; every four-word gram gets
 a code, and of each window of grams the one with the least hash is kept with its place: the inverted index. A document
 looks all its grams up, so any match of WINDOW + GRAM - 1 words or more in a row is found. Hits of a template that lie
 close together make a candidate region; a local alignment of template and region, limited to a band round the hits'
-diagonals, gives the matched words, the share of the template they cover, and the span in the text.
+diagonals, gives the matched words, the share of the template they cover, and the span in the text. A notice must hold
+the license's name word for word. Of overlapping matches of different licenses (GPL, LGPL and AGPL share most words) only
+the one with most matched words is reported, of equals the one that covers more of its template.
 
 One pass inside each document, no shuffle; the index is a constant and travels with the code.
 
 Defined cases: null and empty texts match nothing; a document has a row for every match, so none at all without one;
-repeated rows match each; overlapping matches of one template are reported once, the best first; spans are code points
+repeated rows match each; overlapping matches of one name are reported once, the best first; spans are code points
 of the whole text, end exclusive; case, punctuation and line breaks do not matter.
 """
 
@@ -24,57 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import ready
+from .license_texts import HEADERS, WHOLE, notices
 
 GRAM, WINDOW = 4, 2
-#: Least share of a template that a reported match covers, and least words.
+#: Least share of a template that a reported match covers, and least words (all of a template with fewer).
 LEAST_COVERAGE, LEAST_WORDS = 0.6, 5
-#: Public license notices and texts.
-TEMPLATES = {
-    "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0": (
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
-        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
-        'software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. '
-        "See the License for the specific language governing permissions and limitations under the License."
-    ),
-    "MIT-notice": "Released under the MIT License.",
-    "MIT": (
-        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
-        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
-        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
-        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
-        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
-        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
-        "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
-    ),
-    "ISC": (
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
-        "provided that the above copyright notice and this permission notice appear in all copies."
-    ),
-    "BSD": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
-        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
-        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer "
-        "in the documentation and/or other materials provided with the distribution."
-    ),
-    "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
-        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version. "
-        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
-        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
-    ),
-    "MPL-2.0": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
-        "You can obtain one at https://mozilla.org/MPL/2.0/."
-    ),
-    "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "Unlicense": (
-        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute "
-        "this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
-    ),
-}
+#: One text of each name, for the table of the README; notices have more wordings.
+TEMPLATES = WHOLE | HEADERS | {name: text for name, text, _ in reversed(notices())}
 
 _WORD = re.compile(rb"[a-z0-9]+")
 _SPACED = bytes(c if chr(c) in "abcdefghijklmnopqrstuvwxyz0123456789" else 32 for c in range(256))
@@ -89,11 +47,15 @@ def split(text: str) -> tuple[bytes, list[bytes]]:
 class Index:
     """Winnowed grams of the templates: sorted codes, and for each the templates and places that have it."""
 
-    def __init__(self, templates: dict[str, str]):
-        self.names = sorted(templates)
-        words = [split(templates[n])[1] for n in self.names]
+    def __init__(self, templates: list[tuple[str, str, str]]):
+        """``templates``: name, text, and what a match must hold word for word ("" for nothing)."""
+        templates = sorted(templates)
+        self.names = [n for n, _, _ in templates]
+        self.held = [b" " + b" ".join(split(h)[1]) + b" " for _, _, h in templates]
+        words = [split(text)[1] for _, text, _ in templates]
         self.number = {w: i for i, w in enumerate(sorted({w for ws in words for w in ws}))}
         self.words = [np.array([self.number[w] for w in ws], dtype=np.int64) for ws in words]
+        self.counts = [np.unique(ids, return_counts=True) for ids in self.words]
         at: dict[int, list[tuple[int, int]]] = {}
         for t, ids in enumerate(self.words):
             codes = self.codes(ids)
@@ -120,13 +82,14 @@ class Index:
         places = np.flatnonzero(codes >= 0)
         if not len(places):
             return []
-        places = places[np.isin(codes[places], self.sorted)]
+        near = np.minimum(np.searchsorted(self.sorted, codes[places]), len(self.sorted) - 1)
+        places = places[self.sorted[near] == codes[places]]
         return [(t, int(p), q) for p in places for t, q in self.at[int(codes[p])]]
 
 
 @lru_cache(maxsize=1)
 def _index() -> Index:
-    return Index(TEMPLATES)
+    return Index([(name, text, "") for name, text in (WHOLE | HEADERS).items()] + notices())
 
 
 def align(template: np.ndarray, region: np.ndarray, low: int | None = None, high: int | None = None) -> tuple[int, int, int, int]:
@@ -136,24 +99,55 @@ def align(template: np.ndarray, region: np.ndarray, low: int | None = None, high
     """
     n = len(region)
     low, high = -len(template) if low is None else low, n if high is None else high
-    best, row = (0, 0, 0, 0), {}
-    want = region.tolist()
+    # a cell is one number: score, matched words, start; the larger is the better alignment that ends there, 0 is none
+    word, point = 1 << 20, 1 << 40
+    at = np.arange(n, dtype=np.int64)
+    best, end, row = 0, 0, np.zeros(n + 1, dtype=np.int64)
     for i, x in enumerate(template.tolist()):
-        new: dict[int, tuple[int, int, int]] = {}
-        for j in range(max(0, i + low), min(n, i + high + 1)):
-            score, matched, start = row.get(j - 1, (0, 0, j))
-            if score <= 0:
-                score, matched, start = 0, 0, j
-            cell = (score + 1, matched + 1, start) if want[j] == x else (score - 1, matched, start)
-            for other in (row.get(j), new.get(j - 1)):
-                if other and other[0] - 1 > cell[0]:
-                    cell = (other[0] - 1, other[1], other[2])
-            if cell[0] > 0:
-                new[j] = cell
-                if (cell[0], cell[1]) > best[:2]:
-                    best = (cell[0], cell[1], cell[2], j + 1)
+        new = np.zeros(n + 1, dtype=np.int64)
+        a, b = max(0, i + low), min(n, i + high + 1)
+        if a < b:
+            js, before = at[a:b], row[a:b]
+            cell = np.where(before > 0, before, js) + np.where(region[a:b] == x, point + word, -point)
+            cell = np.maximum(cell, row[a + 1 : b + 1] - point)
+            steps = at[: b - a] * point
+            cell = np.maximum.accumulate(cell + steps) - steps  # gaps in the template
+            cell[cell < point] = 0
+            new[a + 1 : b + 1] = cell
+            if (top := int(cell.max())) // word > best // word:
+                best, end = top, a + int(cell.argmax()) + 1
         row = new
-    return best
+    return best // point, best // word % word, best % word, end
+
+
+def _could(index: Index, t: int, region: np.ndarray) -> bool:
+    """Whether the words of a region, in any order, suffice for a match of the template."""
+    known, counts = index.counts[t]
+    there = np.bincount(region[region >= 0], minlength=len(index.number))
+    return _enough(int(np.minimum(there[known], counts).sum()), len(index.words[t]))
+
+
+def _enough(matched: int, size: int) -> bool:
+    return matched >= min(LEAST_WORDS, size) and matched >= LEAST_COVERAGE * size
+
+
+def _groups(hits: list[tuple[int, int]], size: int, slack: int) -> list[list[tuple[int, int]]]:
+    """Hits of one template by copies: diagonals of one copy lie within the slack of each other. Largest first."""
+    out: list[list[tuple[int, int]]] = []
+    current: list[list[tuple[int, int]]] = []
+    for p, q in hits:
+        current = [g for g in current if p - g[0][0] <= 2 * size]
+        fit = [g for g in current if abs((p - q) - (g[-1][0] - g[-1][1])) <= slack]
+        if fit:
+            min(fit, key=lambda g: abs((p - q) - (g[-1][0] - g[-1][1]))).append((p, q))
+        else:
+            current.append([(p, q)])
+            out.append(current[-1])
+    return sorted(out, key=lambda g: (-len(g), g[0]))
+
+
+def _license(name: str) -> str:
+    return name.removesuffix("-notice").removesuffix("-header")
 
 
 def matches(text: str | None, index: Index | None = None) -> list[tuple[str, float, int, int, int]]:
@@ -167,28 +161,41 @@ def matches(text: str | None, index: Index | None = None) -> list[tuple[str, flo
     hits = index.hits(ids)
     if not hits:
         return []
-    found = []
-    for t in sorted({h[0] for h in hits}):
+    found: list[tuple[int, int, int, int]] = []
+    line = b" " + b" ".join(words) + b" "
+    by: dict[int, list[tuple[int, int]]] = {}
+    for t, p, q in hits:
+        by.setdefault(t, []).append((p, q))
+    holds = {h: h.strip() == b"" or h in line for h in {index.held[t] for t in by}}
+    for t in sorted(by):
+        if not holds[index.held[t]]:
+            continue
         size = len(index.words[t])
         slack = 4 + size // 8
-        own, group = sorted(h[1:] for h in hits if h[0] == t), []
-        for p, q in [*own, (None, 0)]:
-            # hits whose diagonals lie within the slack of each other belong to one copy of the template
-            if group and (p is None or abs((p - q) - (group[-1][0] - group[-1][1])) > slack or p - group[0][0] > 2 * size):
-                diagonals = [a - b for a, b in group]
-                first = max(0, min(diagonals) - slack)
-                region = ids[first : max(diagonals) + size + slack]
-                _, matched, start, end = align(index.words[t], region, min(diagonals) - first - slack, max(diagonals) - first + slack)
-                if matched >= LEAST_WORDS and matched >= LEAST_COVERAGE * size:
-                    found.append((matched, t, first + start, first + end))
-                group = []
-            if p is not None:
-                group.append((p, q))
+        spans: list[tuple[int, int]] = []
+        for group in _groups(sorted(by[t]), size, slack):
+            if all(any(a <= p < b for a, b in spans) for p, _ in group):
+                continue  # grams that occur more than once in a copy already found
+            diagonals = [p - q for p, q in group]
+            first = max(0, min(diagonals) - slack)
+            region = ids[first : max(diagonals) + size + slack]
+            if not _could(index, t, region):
+                continue
+            _, matched, start, end = align(index.words[t], region, min(diagonals) - first - slack, max(diagonals) - first + slack)
+            start, end = first + start, first + end
+            if _enough(matched, size) and (not index.held[t].strip() or index.held[t] in b" " + b" ".join(words[start:end]) + b" "):
+                spans.append((start, end))
+                found.append((matched, t, start, end))
+    share = lambda m: m[0] / len(index.words[m[1]])
+    one: dict[str, list[tuple[int, int, int, int]]] = {}  # of a name's overlapping matches the one that covers most
+    for m in sorted(found, key=lambda m: (-share(m), -m[0], m[2], m[1])):
+        mine = one.setdefault(index.names[m[1]], [])
+        if all(m[3] <= k[2] or m[2] >= k[3] for k in mine):
+            mine.append(m)
     kept: list[tuple[int, int, int, int]] = []
-    taken: dict[int, list[tuple[int, int]]] = {}
-    for m in sorted(found, key=lambda m: (-m[0], m[2], m[1])):
-        if all(m[3] <= a or m[2] >= b for a, b in taken.get(m[1], ())):
-            taken.setdefault(m[1], []).append((m[2], m[3]))
+    for m in sorted((m for mine in one.values() for m in mine), key=lambda m: (-m[0], -share(m), m[2], m[1])):
+        rivals = [k for k in kept if _license(index.names[k[1]]) != _license(index.names[m[1]])]
+        if all(2 * (min(m[3], k[3]) - max(m[2], k[2])) <= min(m[3] - m[2], k[3] - k[2]) for k in rivals):
             kept.append(m)
     if not kept:
         return []

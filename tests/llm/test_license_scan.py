@@ -65,3 +65,26 @@ def test_rows_and_edges(spark):
     assert set(by) == {1, 5, 6, None} and len(by[1]) == 2 and len(by[6]) == 2
     assert by[5][0][4] == len("filler words " * 30_000) and by[1][0][1:4] == ("MIT", 1.0, len(ls.split(mit)[1]))
     assert ls.scan(docs.limit(0)).count() == 0
+
+
+def names(text):
+    return [m[0] for m in ls.matches(text)]
+
+
+def test_notices_in_other_words():
+    assert names("our code is licensed under the MIT License, as usual") == ["MIT-notice"]
+    assert names("SPDX-License-Identifier: MIT") == ["MIT-notice"]
+    assert names("This library is released under the Apache License 2.0") == ["Apache-2.0-notice"]
+    assert names("Licensed under the GNU Lesser General Public License, version 3") == ["LGPL-3.0-notice"]
+    assert names("This work is licensed under CC BY-SA 4.0.") == ["CC-BY-SA-4.0-notice"]
+    assert names("This work is licensed under the GNU Affero General Public License, version 3.") == ["AGPL-3.0-notice"]
+    assert names("Made available under the Eclipse Public License 2.0") == ["EPL-2.0-notice"]
+    assert names("Licensed under the Some Other License, Version 2.0") == []
+
+
+def test_family_members_keep_their_names():
+    for name, text in (ls.WHOLE | ls.HEADERS).items():
+        words = text.split()
+        edited = " ".join(w for i, w in enumerate(words) if len(words) < 400 or i % 50)
+        found = names(edited)
+        assert name in found and {ls._license(n) for n in found} == {ls._license(name)}, (name, found)
