@@ -1,13 +1,14 @@
 """Language identification by multilingual mixture inference.
 
-Training counts hashed character trigrams per language over a bounded, seeded sample of labelled documents
-(``SAMPLE_DOCUMENTS`` is the expected size; whole texts) and smooths them to log likelihoods. A document is cut into
+Training counts hashed character trigrams per language over a bounded, seeded sample of labelled documents (whole texts)
+and smooths them to log likelihoods. ``SAMPLE_DOCUMENTS``, the expected size, is dealt out to the languages by a water
+level, so no language is left out at any size: those below the level are taken in full, the others share the rest alike. A document is cut into
 short runs of trigrams; expectation-maximisation over the runs' likelihoods gives the proportion of each language in it.
 The set of languages is chosen by penalised likelihood: the weakest language goes as long as the loss in log likelihood
 stays below half the log of the number of runs for its parameter (BIC). The prediction is the language with the
 largest proportion, and that proportion is the score.
 
-Training collects at most languages x features sums, a size that does not grow with the corpus; documents are then
+Training collects a count per language and at most languages x features sums, a size that does not grow with the corpus; documents are then
 scored in one pass without a shuffle. Language, source and id are never inputs of a prediction.
 
 Defined cases: null text, and text without any letter, is ``und`` with score 0; with nothing to learn from, every
@@ -32,6 +33,7 @@ FEATURES = 1 << 15
 SAMPLE_DOCUMENTS = 6_000
 FOLDS = 5
 RUN = 8
+SEEDS = 1 << 40
 SMOOTHING = 0.1
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -60,14 +62,29 @@ def fold(key: Column) -> Column:
     return F.crc32(key.cast("string")) % FOLDS
 
 
+def water_level(sizes: list[int], total: int) -> float:
+    """The most rows a group may give so that all groups together give ``total``; the largest size if all rows fit."""
+    left = float(total)
+    for i, n in enumerate(sorted(sizes)):
+        share = left / (len(sizes) - i)
+        if n > share:
+            return share
+        left -= n
+    return float(max(sizes, default=0))
+
+
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE_DOCUMENTS) -> tuple[list[str], np.ndarray]:
     """Languages and the matrix of their log likelihoods (features x languages)."""
     ready(docs.sparkSession)
+    seed = F.pmod(F.xxhash64(F.lit("train"), F.col(key)), F.lit(SEEDS))
     usable = docs.where((fold(F.col(key)) != 0) & F.col(lang).isNotNull())
-    n = usable.count()
-    share = min(1.0, sample / n) if n else 1.0
-    seeded = F.pmod(F.xxhash64(F.lit("train"), F.col(key)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
-    taken = usable.where(seeded & F.col(text).isNotNull()).select(lang, text)
+    usable = usable.where(F.col(text).rlike("\\p{L}")).select(F.col(lang).alias("lang"), F.col(text).alias("text"), seed.alias("seed"))
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min("seed").alias("least")).collect()  # a row per language
+    level = water_level([r["n"] for r in sizes], sample)
+    # the least seed is always taken, so that repeated ids or a low level leave no language out
+    limits = [(r["lang"], SEEDS if r["n"] <= level else max(int(level / r["n"] * SEEDS), r["least"] + 1)) for r in sizes]
+    limit = docs.sparkSession.createDataFrame(limits, "lang string, below long")
+    taken = usable.join(F.broadcast(limit), "lang").where("seed < below").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

@@ -60,3 +60,19 @@ def test_held_out_accuracy_on_the_tables(spark):
     table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = li.report(table).join(table.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert len(got) > 100 and np.mean([r["lang"] == r["lang_pred"] for r in got]) >= 0.97
+
+
+def test_rare_languages_are_learned_at_every_size(spark):
+    rng = random.Random(3)
+    rows = [(i, text(rng, "en", 5), "en") for i in range(4000)] + [(9000 + i, text(rng, "fr"), "fr") for i in range(8)]
+    rows += [(j, text(rng, "de"), "de") for j in [next(i for i in range(20_000, 30_000) if zlib.crc32(str(i).encode()) % 5)] * 300]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, model = li.train(docs, sample=100)
+    assert names == ["de", "en", "fr"]
+    for lang in names:
+        assert li.proportions(text(rng, lang, 100), names, model)[0][0] == lang
+
+
+def test_water_level():
+    assert li.water_level([5, 10, 4000], 100) == 85 and li.water_level([5, 10], 100) == 10 and li.water_level([], 100) == 0
+    assert li.water_level([50, 50, 50, 50], 100) == 25
