@@ -3,7 +3,8 @@
 The base kinds are patterns. The method's kind, ``novel``, measures a candidate's marginal compressed bytes: zstandard
 is primed with a dictionary of common identifiers and the text around the candidate, and the bytes that the candidate
 then adds are compared with its length. Ordinary words, repeated identifiers, paths and numbers that the surroundings
-hold compress to little; keys do not. A candidate is a run of 16 or more key characters with a digit and a letter, or
+hold compress to little; keys do not. Other places of the candidate itself do not count as surroundings, so a key that is
+set and then used is found at both, unless it reads as words, as a repeated identifier does. A candidate is a run of 16 or more key characters with a digit and a letter, or
 with both cases, and it is measured only in a sensitive context: a sensitive word among the characters just before it.
 
 Everything happens inside one document, in one pass with no shuffle. Cheap exact byte filters skip documents that
@@ -38,6 +39,8 @@ SENSITIVE_WORDS = ("passw", "passphrase", "secret", "token", "key", "credential"
 REACH, SURROUND = 64, 400
 #: Marginal bytes per character from which a candidate is reported; a random hex string needs 0.5, base64 0.75.
 NOVELTY = 0.5
+#: Pieces of a name. Random keys change class every 2 characters (base64, hex) or 3.2 (base32), names every word.
+PIECE, WORD_PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+"), 4
 IDENTIFIERS = (
     "access_key access_token account_id accessKeyId accessToken api_key apiKey application/json app_secret auth_token authorization "
     "aws_access_key_id aws_secret_access_key bearer certificate client_id client_secret config connection_string content-type "
@@ -80,6 +83,12 @@ def novelty(candidate: str, around: str, identifiers: str = IDENTIFIERS) -> floa
     return (len(press.compress(candidate.encode())) - len(press.compress(b""))) / len(candidate)
 
 
+def reads_as_words(candidate: str) -> bool:
+    """Whether a candidate's pieces (words of a name, numbers) have WORD_PIECE characters or more on average."""
+    pieces = PIECE.findall(candidate)
+    return sum(map(len, pieces)) >= WORD_PIECE * len(pieces)
+
+
 def novel_spans(text: str, raw: bytes, low: str, least: float = NOVELTY) -> list[tuple[int, int, str]]:
     if not any(w in low for w in SENSITIVE_WORDS) or _KEY_RUN not in raw.translate(_KEY):
         return []
@@ -93,6 +102,8 @@ def novel_spans(text: str, raw: bytes, low: str, least: float = NOVELTY) -> list
         if not SENSITIVE.search(text, max(0, m.start() - REACH), m.end()):
             continue
         around = text[max(0, m.start() - SURROUND) : m.start()] + " " + text[m.end() : m.end() + SURROUND]
+        if not reads_as_words(word):
+            around = around.replace(word, " ")  # other places of the same key explain nothing: set, then used
         if novelty(word, around) >= least:
             found.append((m.start(), m.end(), "novel"))
     return found

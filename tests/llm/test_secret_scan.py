@@ -54,3 +54,9 @@ def test_redact_and_scan(spark):
     spans = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in ss.scan(docs).collect()}
     assert ("assign", 2, 24) in spans[1] and spans[2] == spans[3] == []
     assert ss.report(docs.limit(0)).count() == 0
+
+
+def test_a_key_used_twice_is_novel_at_both_places():
+    key = "q9Zt4Lw8Vn2Xb7Rc5Jd1Kf6Gh3Ms0Py8Tu5Wa2Ee"
+    code = f"authorization = '{key}'\ncall(bearer='{key}')"
+    assert [code[a:b] for a, b, k in ss.spans(code) if k == "novel"] == [key, key]
