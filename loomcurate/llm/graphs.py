@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
-
-MOST_ROUNDS = 40
+from .common import release, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -23,21 +21,25 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where(F.col("u") != F.col("v")).distinct()
 
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def components(edges: DataFrame, a: str, b: str, made: list | None = None) -> DataFrame:
     """(node, component): every node with an edge to another, and the least node of its component.
 
-    Each round shuffles the edges and writes them; hubs are joined to a single row each, so a skewed hub can be split.
+    Each round shuffles the edges and writes them, until they are stars; a round at least halves long paths, so rounds
+    grow with the logarithm of the longest. Hubs are joined to a single row each, so a skewed hub can be split.
     """
     now = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col("u") != F.col("v")).distinct()
-    now, before = stored(now), None
-    for _ in range(MOST_ROUNDS):
+    last: list = []
+    now, before = stored(now, last), None
+    while True:
         state = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if state == before or not state["n"]:
             break
-        before = state
-        now = stored(_star(_star(now, large=True), large=False))
-    else:
-        raise RuntimeError("the components did not settle")
+        before, made_now = state, []
+        now = stored(_star(_star(now, large=True), large=False), made_now)
+        release(last)
+        last = made_now
+    if made is not None:
+        made += last
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -1,24 +1,29 @@
 """N-gram Jaccard join: documents whose sets of five-word shingles have a similarity of 0.8 or more, exactly.
 
-1. Texts become sorted arrays of 64-bit shingle hashes. Documents with equal arrays form a class and are not compared.
+1. Texts become sorted arrays of 64-bit shingle hashes. Documents with equal arrays form a class; one of each class goes on.
 2. Prefix filter. Under any fixed order of shingles, two linked sets share one of their first n // 5 + 1. The order used
-   puts half of the shingles (by a hash bit) first, the rarer ones in front, so passages and lines that many documents
-   share come late. To count, each batch of documents sends packed binary blocks of hash codes to buckets, not rows;
-   hash codes that two documents have go back to their documents, which keep those within their prefix. A document
-   whose whole prefix is its own is linked with nothing.
-3. Documents that share a prefix shingle get into one block (connected components of star edges, linear in size).
-4. Blocks are cut into size-banded tiles: sorted by set size and, beyond ``TILE`` classes, split into bands which meet
-   pairwise only where sizes allow a link. In a tile, bits of hashed bitmap signatures bound the overlap from above
-   (a differing bit needs a differing shingle), and pairs that pass get the exact intersection of their sorted arrays.
-   Pairs already connected in the tile are skipped: links are needed only to find components.
-5. Components of the links; each gets the least document id.
-
-Nothing grows with the square of a group: copies are collapsed, groups of near copies send star edges and links that
-span them. Only codes and signatures are compared between documents; texts of possible links are read a second time.
-
-Defined cases: null text and text without words have an empty set and are linked with nothing; one to four words are
-one shingle; repeated rows are linked; a null id is never the least id of a component unless all its ids are null.
-Hashes of shingles and classes have 64 bits: two different ones agree with probability 2^-64.
+   puts a part of the shingles (by hash bits) first, the rarer ones in front, so passages and lines that many documents
+   share come late. Codes that a fixed share of all rows have are few: pools of documents report what is frequent in them,
+   the sums are broadcast, and hot codes come last in the order and are never dealt out. All others are dealt out by code
+   once, to be counted; a code nobody else has is not sent on.
+3. Classes that share a prefix code meet at a star: the code's first class. A star holds a class once, however many codes
+   they share, and stars are not chained into components.
+4. Stars are searched in size-banded tiles of bounded weight: small stars share tiles, a large one is cut into cells by set
+   size and, for one size, by a hash. In a tile, bits of hashed bitmap signatures bound the overlap from above (a differing
+   bit needs a differing shingle), and pairs that pass get the exact intersection of their sorted arrays. Pairs already
+   connected are skipped: links are needed only to find components.
+5. Cells of a large star are searched alone first. Then only cells that hold classes not yet connected meet, and the members
+   of the largest component need not meet each other.
+6. Components of the verified links; each gets the least document id.
+
+Copies and groups of near copies send rows in proportion to their size. What stays quadratic, in tiles of bounded size, are
+pairs in one large star that share rare shingles, are of like size, and yet are connected with nothing. Only codes are
+compared between documents; texts of classes in stars are read a second time.
+
+Defined cases: null text and text without words have an empty set and are linked with nothing; one to four words are one
+shingle; very long texts weigh more in a tile; repeated rows are linked; a null id is never the least id of a component unless
+all its ids are null; an empty table gives no rows; other columns, whatever their names, are not read. Hashes of shingles and
+classes have 64 bits: two different ones agree with probability 2^-64.
 """
 
 from __future__ import annotations
@@ -31,20 +36,26 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, fresh, ready, stored
+from .common import BLANKS, fresh, ready, release, stored
 from .graphs import components
 
 SHINGLE = 5
 #: Similarity as a fraction; the prefix is then n - ceil(n * NUMERATOR / DENOMINATOR) + 1 shingles.
 NUMERATOR, DENOMINATOR = 80, 100
-BUCKET_DOCUMENTS = 2_000
-TILE = 1_500
+#: Shingles whose hash is in the first so many sixteenths are counted; a prefix takes a fifth of all.
+COUNTED_SIXTEENTHS = 8
+#: Most codes that can be hot (each has more than this part of all rows), and the least rows of a hot code.
+HOT_SHARE, HOT_LEAST = 1 << 17, 1_000
+#: Shingles of a pool of documents, and how often a code must occur in one to be reported as a likely hot code.
+POOL, OFTEN = 1 << 21, 16
+#: Most weight of a tile: a class weighs 1, and one more for each LONG_SET shingles.
+TILE, LONG_SET = 1_500, 1_000
 SIGNATURE_BITS = 4096
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
-_KNOWN_WORDS = 2_000_000
+_KNOWN_WORDS, _KNOWN_CLASSES = 2_000_000, 1_000_000
 #: Most bits of the bitmap that a second scan is filtered by: 8 MB.
 NAME_BITS = 1 << 26
 
@@ -86,100 +97,102 @@ def class_of(hashes: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh3_64_intdigest(hashes.tobytes(), seed=len(hashes))).astype(np.int64))
 
 
-def _sketch(docs: DataFrame, key: str, text: str, buckets: int) -> DataFrame:
-    """Rows of documents (bucket null) and packed blocks of hash codes (bucket set), in one pass."""
+def chosen(found: np.ndarray) -> np.ndarray:
+    """The shingles of a set that may be in its prefix: those of the counted part, and more where they are too few."""
+    counted = (found & np.uint64(15)) < np.uint64(COUNTED_SIXTEENTHS)
+    first, least = found[counted], prefix_length(len(found))
+    return first if len(first) >= least else np.concatenate([first, found[~counted][: least - len(first)]])
+
+
+def _sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """doc_id, digest, ref, cls, n, codes, often: a row per document, and rows without n that hold only ``often``.
+
+    ``codes``: those of ``chosen``, for the first of a class in a task. ``often``: codes that occur ``OFTEN`` times or more
+    in a pool of documents of the task, with their number there.
+    """
     kind = docs.schema[key].dataType.simpleString()
-    shift = 64 - int(math.log2(buckets))
+    often_kind = pa.list_(pa.struct([("code", pa.int64()), ("rows", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, part, serial = Shingler(), TaskContext.get().partitionId(), 0
-        for whole_batch in batches:
-            for at in range(0, whole_batch.num_rows, 1 << 14):
-                batch = whole_batch.slice(at, 1 << 14)
-                uid = part << 24 | serial
-                serial += 1
-                names, sizes, sent, codes, owners = [], [], [], [], []
-                for i, value in enumerate(batch.column(1)):
-                    found = shingles(value.as_py())
-                    names.append(class_of(found))
-                    sizes.append(len(found))
-                    if len(found):
-                        first = (found & np.uint64(1)) == 0
-                        chosen, least = found[first], prefix_length(len(found))
-                        if len(chosen) < least:
-                            chosen = np.concatenate([chosen, found[~first][: least - len(chosen)]])
-                    else:
-                        chosen = found
-                    sent.append(len(chosen))
-                    codes.append(chosen)
-                    owners.append(np.full(len(chosen), i, dtype=np.uint16))
-                n = len(names)
-                refs = [uid << 14 | i for i in range(n)]
-                types = [batch.schema.types[0], pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-                titles = ["doc_id", "digest", "ref", "cls", "n", "sent", "bucket", "codes", "owners"]
-                nothing = [pa.nulls(n, t) for t in types[6:]]
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(c, pa.int64()) for c in (refs, names, sizes, sent)), *nothing], names=titles)
-                code, owner = np.concatenate(codes), np.concatenate(owners)
-                order = np.argsort(code)
-                code, owner = code[order], owner[order]
-                bucket = (code >> np.uint64(shift)).astype(np.int64) if buckets > 1 else np.zeros(len(code), dtype=np.int64)
-                short = ((code << np.uint64(64 - shift)) >> np.uint64(32)).astype("<u4") if buckets > 1 else (code >> np.uint64(32)).astype("<u4")
-                edges = np.searchsorted(bucket, np.arange(buckets + 1))
-                full = [b for b in range(buckets) if edges[b + 1] > edges[b]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(full), types[0]), pa.nulls(len(full), pa.int64()), pa.array([uid << 14] * len(full), pa.int64()), *(pa.nulls(len(full), pa.int64()) for _ in range(3)),
-                     pa.array(full, pa.int32()), pa.array([short[edges[b] : edges[b + 1]].tobytes() for b in full], pa.binary()), pa.array([owner[edges[b] : edges[b + 1]].tobytes() for b in full], pa.binary())],
-                    names=titles,
-                )
-
-    schema = f"doc_id {kind}, digest long, ref long, cls long, n long, sent long, bucket int, codes binary, owners binary"
+        shingles, seen, ref = Shingler(), set(), TaskContext.get().partitionId() << 33
+        names = ["doc_id", "digest", "ref", "cls", "n", "codes", "often"]
+        pool: list[np.ndarray] = []
+        id_type = None
+
+        def rows_of(ids, digests, first: int, classes: list[int], sizes: list[int], codes: list) -> pa.RecordBatch:
+            n, some = len(classes), [c for c in codes if c is not None]
+            ends = iter(np.cumsum([0, *map(len, some)]).tolist())
+            flat = pa.array(np.concatenate([np.zeros(0, np.uint64), *some]).view(np.int64))
+            offsets = pa.array([*(None if c is None else next(ends) for c in codes), next(ends)], pa.int32())  # a null makes a null list
+            numbers = (pa.array(x, pa.int64()) for x in (range(first, first + n), classes, sizes))
+            return pa.RecordBatch.from_arrays([ids, digests, *numbers, pa.ListArray.from_arrays(offsets, flat), pa.nulls(n, often_kind)], names=names)
+
+        def often() -> pa.RecordBatch:
+            code, rows = np.unique(np.concatenate(pool), return_counts=True)
+            pool.clear()
+            code, rows = code[rows >= OFTEN].view(np.int64), rows[rows >= OFTEN]
+            found = pa.array([[{"code": c, "rows": r} for c, r in zip(code.tolist(), rows.tolist(), strict=True)]], often_kind)
+            return pa.RecordBatch.from_arrays([pa.nulls(1, id_type), *(pa.nulls(1, pa.int64()) for _ in range(4)), pa.nulls(1, pa.list_(pa.int64())), found], names=names)
+
+        for batch in batches:
+            id_type, at, classes, sizes, codes, held = batch.schema.types[0], 0, [], [], [], 0
+            for i, value in enumerate(batch.column(1)):
+                found = shingles(value.as_py())
+                name = class_of(found)
+                new = len(found) > 0 and name not in seen
+                if new:
+                    if len(seen) >= _KNOWN_CLASSES:
+                        seen.clear()
+                    seen.add(name)
+                    held += len(found)
+                classes.append(name)
+                sizes.append(len(found))
+                codes.append(chosen(found) if new else None)
+                if held > POOL or i + 1 == batch.num_rows:
+                    n = len(classes)
+                    yield rows_of(batch.column(0).slice(at, n), batch.column(2).slice(at, n), ref, classes, sizes, codes)
+                    pool += [c for c in codes if c is not None]
+                    if sum(map(len, pool)) > POOL:
+                        yield often()
+                    at, ref, classes, sizes, codes, held = at + n, ref + n, [], [], [], 0
+        if pool:
+            yield often()
+
+    schema = f"doc_id {kind}, digest long, ref long, cls long, n long, codes array<long>, often array<struct<code:long,rows:long>>"
     return docs.select(F.col(key), F.col(text), F.xxhash64(F.col(text))).mapInArrow(run, schema)
 
 
-def _shared(blocks: pd.DataFrame, buckets: int) -> pd.DataFrame:
-    """Codes of a bucket that several documents have, as packed rows for the documents' buckets."""
-    codes = [np.frombuffer(c, dtype="<u4") for c in blocks["codes"]]
-    owners = [np.frombuffer(o, dtype="<u2").astype(np.int64) + int(r) for o, r in zip(blocks["owners"], blocks["ref"], strict=True)]
-    code, owner = np.concatenate(codes), np.concatenate(owners)
-    order = np.lexsort((owner, code))
-    code, owner = code[order], owner[order]
-    fresh_pair = np.ones(len(code), dtype=bool)
-    fresh_pair[1:] = (code[1:] != code[:-1]) | (owner[1:] != owner[:-1])
-    code, owner = code[fresh_pair], owner[fresh_pair]
-    starts = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
-    n = np.diff(np.append(starts, len(code)))
-    count = np.repeat(n, n)
-    many = count > 1
-    code, owner, count = code[many].astype(np.int64) | (int(blocks["bucket"].iloc[0]) << 32), owner[many], count[many]
-    home = _home(owner, buckets)
-    order = np.argsort(home, kind="stable")
-    code, owner, count, home = code[order], owner[order], count[order], home[order]
-    edges = np.searchsorted(home, np.arange(buckets + 1))
-    rows = [(b, code[a:z].tobytes(), owner[a:z].tobytes(), count[a:z].astype("<u4").tobytes()) for b, (a, z) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if z > a]
-    return pd.DataFrame(rows, columns=["home", "codes", "owners", "counts"])
-
-
-def _home(refs: np.ndarray, buckets: int) -> np.ndarray:
-    mixed = refs.astype(np.uint64) * _MIX[0]
-    return ((mixed ^ (mixed >> np.uint64(29))) % np.uint64(buckets)).astype(np.int64)
-
-
-def _prefixes(documents: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
-    """(code, cls): shared codes in the prefixes of a bucket's documents."""
-    if blocks.empty or documents.empty:
-        return pd.DataFrame({"code": pd.Series(dtype="int64"), "cls": pd.Series(dtype="int64")})
-    code, owner, count = (np.concatenate([np.frombuffer(x, dtype=t) for x in blocks[c]]) for c, t in (("codes", "<i8"), ("owners", "<i8"), ("counts", "<u4")))
-    order = np.lexsort((code, count, owner))
-    code, owner = code[order], owner[order]
-    documents = documents.sort_values("ref")
-    refs, sent, n, cls = (documents[c].to_numpy() for c in ("ref", "sent", "n", "cls"))
-    starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-    lengths = np.diff(np.append(starts, len(owner)))
-    at = np.searchsorted(refs, owner[starts])
-    wanted = np.maximum(0, prefix_length(n[at]) - (sent[at] - lengths))  # codes of its own come first
-    rank = np.arange(len(owner)) - np.repeat(starts, lengths)
-    kept = rank < np.repeat(wanted, lengths)
-    return pd.DataFrame({"code": code[kept], "cls": np.repeat(cls[at], lengths)[kept]}).drop_duplicates()
+def _prefixes(coded: DataFrame, often: DataFrame, made: list) -> DataFrame:
+    """(code, ref, n, hot): the shared codes in the prefix of each class.
+
+    ``coded``: ref, n, codes; a row per class, named by a number whose neighbours are alike and so shuffles small.
+    ``often``: code, rows. Sums of ``often`` find the hot codes: of more than 1 / ``HOT_SHARE`` of all rows and ``HOT_LEAST``.
+    By this there are at most ``HOT_SHARE`` of them, so they are broadcast; they come last in the order. All others are
+    dealt out by code once and counted there; such a key has at most a hot code's least rows and ``OFTEN`` of each pool.
+    """
+    total = coded.agg(F.sum(F.size("codes"))).first()[0] or 0
+    hot = often.groupBy("code").agg(F.sum("rows").alias("df")).where(F.col("df") >= max(HOT_LEAST, total // HOT_SHARE))
+    hot = F.broadcast(stored(hot, made))
+    pairs = coded.select("ref", (F.shiftleft("n", 32) + F.size("codes")).alias("sizes"), F.explode("codes").alias("code"))
+    cold = pairs.join(hot.select("code"), "code", "left_anti").withColumn("df", F.count("*").over(Window.partitionBy("code"))).where("df > 1")
+    known = cold.withColumn("hot", F.lit(False)).unionByName(pairs.join(hot, "code").withColumn("hot", F.lit(True)))
+    own = Window.partitionBy("ref")
+    ranked = known.withColumn("rank", F.row_number().over(own.orderBy("hot", "df", "code"))).withColumn("shared", F.count("*").over(own))
+    n, sent = F.shiftright("sizes", 32), F.col("sizes").bitwiseAND(F.lit((1 << 32) - 1))
+    least = n - F.ceil(n * NUMERATOR / DENOMINATOR) + 1  # prefix_length; codes that are nobody else's come first
+    return ranked.where(F.col("rank") <= least - (sent - F.col("shared"))).select("code", "ref", n.alias("n"), "hot")
+
+
+def _stars(prefixes: DataFrame) -> DataFrame:
+    """(hub, ref, n): the least class of each prefix code with all classes that have the code; rows differ.
+
+    Any two classes that share a prefix code meet at its hub, and the many codes of a group of near copies have few hubs.
+    """
+    by_code = Window.partitionBy("code")
+    cold = prefixes.where("not hot").select("ref", "n", F.min("ref").over(by_code).alias("hub"), F.count("*").over(by_code).alias("members")).where("members > 1")
+    hubs = prefixes.where("hot").groupBy("code").agg(F.min("ref").alias("hub"), F.count("*").alias("members")).where("members > 1")
+    hot = prefixes.where("hot").join(F.broadcast(hubs), "code")  # at most as many as there are hot codes
+    return cold.select("hub", "ref", "n").unionByName(hot.select("hub", "ref", "n")).groupBy("hub", "ref").agg(F.first("n").alias("n"))
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
@@ -196,19 +209,22 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return DENOMINATOR * common >= NUMERATOR * (len(a) + len(b) - common)
 
 
-def tile_links(sets: list[np.ndarray], band: np.ndarray) -> list[tuple[int, int]]:
-    """Links that span the components of a tile. ``band``: 0 or 1; in a tile of two bands only pairs across them count."""
+def tile_links(sets: list[np.ndarray], side: np.ndarray, group: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that span the components of a tile, each from a component's first set.
+
+    ``side``: in a tile that has a side 1, only pairs across the sides count. ``group``: components known before.
+    """
     order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), i))
     sizes = np.array([len(sets[i]) for i in order])
     signs = np.array([signature(sets[i]) for i in order])
-    bands, two = band[order], bool(band.any())
-    group, found = np.arange(len(order)), []
+    sides, two = side[order], bool(side.any())
+    group = np.arange(len(order)) if group is None else np.unique(group[order], return_inverse=True)[1]
+    found = []
     for i in range(len(order) - 1):
         end = int(np.searchsorted(sizes, sizes[i] * DENOMINATOR // NUMERATOR, side="right"))
-        rest = np.arange(i + 1, end)
-        rest = rest[group[rest] != group[i]]
+        rest = np.flatnonzero(group[i + 1 : end] != group[i]) + i + 1
         if two:
-            rest = rest[bands[rest] != bands[i]]
+            rest = rest[sides[rest] != sides[i]]
         if not len(rest):
             continue
         apart = np.bitwise_count(signs[rest] ^ signs[i]).sum(axis=1, dtype=np.int64)
@@ -223,10 +239,10 @@ def tile_links(sets: list[np.ndarray], band: np.ndarray) -> list[tuple[int, int]
 
 def _tile(rows: pd.DataFrame) -> pd.DataFrame:
     links = []
-    for _, block in rows.sort_values(["block", "cls"]).groupby("block", sort=False):
+    for _, block in rows.sort_values(["hub", "cls"]).groupby("hub", sort=False):
         names = block["cls"].to_numpy()
         sets = [np.frombuffer(x, dtype="<u8") for x in block["hashes"]]
-        links += [(names[i], names[j]) for i, j in tile_links(sets, block["side"].to_numpy())]
+        links += [(names[i], names[j]) for i, j in tile_links(sets, block["side"].to_numpy(), block["known"].to_numpy())]
     return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
 
@@ -269,56 +285,88 @@ def _sets(docs: DataFrame, key: str, text: str, wanted: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "cls long, hashes binary")
 
 
-def _links(docs: DataFrame, key: str, text: str, firsts: DataFrame, blocks: DataFrame, tile: int) -> DataFrame:
-    """(a, b): links between classes, spanning each tile's components. ``firsts``: cls, n, first (a row per class)."""
-    classes = stored(firsts.join(blocks, F.col("cls") == F.col("node")).select("component", "cls", "n", "first"))
-    wanted = classes.select(F.col("first.doc_id").alias("wanted_id"), F.col("first.digest").alias("wanted_digest"))
-    sets = _sets(docs, key, text, wanted)
-    counted = classes.groupBy("component").agg(F.count("*").alias("members"))
-    members = classes.join(counted, "component").select("component", "cls", "n", "members")
-    small = members.where(F.col("members") <= tile)
-    bins = max(1, math.ceil(small.count() / tile))
-    small = small.select("cls", F.col("component").alias("block"), F.concat_ws(":", F.lit("bin"), F.pmod(F.xxhash64("component"), F.lit(bins))).alias("tile"), F.lit(0).alias("side"))
-    # a large block: bands of at most ``tile`` classes by size, each meeting itself and those whose sizes allow a link
-    rank = F.row_number().over(Window.partitionBy("component").orderBy("n", "cls")) - 1
-    large = stored(members.where(F.col("members") > tile).withColumn("band", F.floor(rank / tile).cast("long")))
-    bands = large.groupBy("component", "band").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    low, high = (bands.select("component", F.col("band").alias(f"band_{s}"), F.col("low").alias(f"low_{s}"), F.col("high").alias(f"high_{s}")) for s in "ab")
-    meet = low.join(high, "component").where("band_a <= band_b").where(NUMERATOR * F.col("low_b") <= DENOMINATOR * F.col("high_a"))
-    name = F.concat_ws(":", "component", "band_a", "band_b").alias("tile")
-    first = meet.select("component", F.col("band_a").alias("band"), name, F.lit(0).alias("side"))
-    second = meet.where("band_a < band_b").select("component", F.col("band_b").alias("band"), name, F.lit(1).alias("side"))
-    tiled = large.join(first.unionByName(second), ["component", "band"]).select("cls", F.col("component").alias("block"), "tile", "side")
-    named = sets.join(classes.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
-    dealt = small.unionByName(tiled).join(named, "cls")
-    return dealt.groupBy("tile").applyInPandas(_tile, "a long, b long")
-
-
-def join(docs: DataFrame, key: str = "doc_id", text: str = "text", tile: int = TILE, bucket_documents: int = BUCKET_DOCUMENTS) -> DataFrame:
+def _verified(docs: DataFrame, key: str, text: str, firsts: DataFrame, dealt: DataFrame) -> DataFrame:
+    """(a, b): links found in tiles. ``dealt``: tile, hub, cls, side, known."""
+    wanted = firsts.join(dealt.select("cls").distinct(), "cls", "left_semi").select(F.col("first.doc_id").alias("wanted_id"), F.col("first.digest").alias("wanted_digest"))
+    sets = _sets(docs, key, text, wanted).dropDuplicates(["cls"])
+    return dealt.join(sets, "cls").groupBy("tile").applyInPandas(_tile, "a long, b long")
+
+
+def _cells(members: DataFrame, tile: int) -> DataFrame:
+    """``members`` (hub, part, cls, n) with ``cell``: of like sizes, and of a bounded weight.
+
+    Weights are summed for each size before they are accumulated, so a hub with a third of all classes is a row per size;
+    a size too heavy for a cell is cut by a hash.
+    """
+    sizes = members.groupBy("hub", "part", "n").agg(F.sum(_weight("n")).alias("w"))
+    below = F.sum("w").over(Window.partitionBy("hub", "part").orderBy("n").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("w")
+    placed = sizes.withColumn("band", F.floor(below / tile)).withColumn("cuts", F.ceil(F.col("w") / tile))
+    cut = F.when(F.col("cuts") > 1, F.concat_ws("/", "n", F.pmod(F.xxhash64("cls"), F.col("cuts")))).otherwise(F.lit(""))
+    rows = members.join(placed.select("hub", "part", "n", "band", "cuts"), ["hub", "part", "n"])
+    return rows.withColumn("cell", F.concat_ws(":", "part", "band", cut)).drop("band", "cuts")
+
+
+def _weight(n: str) -> Column:
+    """What a class takes of a tile: 1, or more where its set is long."""
+    return F.greatest(F.lit(1).cast("long"), F.floor(F.col(n) / LONG_SET))
+
+
+def _links(docs: DataFrame, key: str, text: str, firsts: DataFrame, stars: DataFrame, tile: int, made: list) -> DataFrame:
+    """(a, b): links between classes that span all components. ``firsts``: cls, n, first (a row per class)."""
+    counted = stars.groupBy("hub").agg(F.sum(_weight("n")).alias("weight"))
+    light = counted.where(F.col("weight") <= tile)
+    bins = max(1, math.ceil((light.agg(F.sum("weight")).first()[0] or 0) / tile))
+    small = stars.join(light.select("hub"), "hub").select(F.concat_ws(":", F.lit("bin"), F.pmod(F.xxhash64("hub"), F.lit(bins))).alias("tile"), "hub", "cls", F.lit(0).alias("side"), F.col("cls").alias("known"))
+    heavy = counted.where(F.col("weight") > tile).select("hub")
+    if heavy.isEmpty():
+        return stored(_verified(docs, key, text, firsts, small), made)
+    # a large star is cut into cells, which are first searched alone; then pairs across cells that are not connected yet
+    cells = stored(_cells(stars.join(heavy, "hub").withColumn("part", F.lit(0)), tile), made)
+    alone = cells.select(F.concat_ws(":", "hub", "cell").alias("tile"), "hub", "cls", F.lit(0).alias("side"), F.col("cls").alias("known"))
+    found = stored(_verified(docs, key, text, firsts, small.unionByName(alone)), made)
+    known = components(found, "a", "b", made)
+    labelled = cells.drop("part", "cell").join(known, F.col("cls") == F.col("node"), "left").select("hub", "cls", "n", F.coalesce("component", "cls").alias("known"))
+    most = labelled.groupBy("hub", "known").agg(F.count("*").alias("members")).groupBy("hub").agg(F.max_by("known", F.struct("members", "known")).alias("main"), F.count("*").alias("parts"))
+    open_ = labelled.join(most.where("parts > 1"), "hub").withColumn("part", F.when(F.col("known") == F.col("main"), 0).otherwise(1)).drop("main", "parts")
+    if open_.isEmpty():
+        return found
+    # part 0: the largest component, whose members need not meet each other
+    cells = stored(_cells(open_, tile), made)
+    spans = cells.groupBy("hub", "part", "cell").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    one, two = (spans.select("hub", *[F.col(c).alias(f"{c}_{s}") for c in ("part", "cell", "low", "high")]) for s in "ab")
+    meet = one.join(two, "hub").where("cell_a <= cell_b and part_a + part_b > 0")
+    meet = meet.where((NUMERATOR * F.col("low_b") <= DENOMINATOR * F.col("high_a")) & (NUMERATOR * F.col("low_a") <= DENOMINATOR * F.col("high_b")))
+    name = F.concat_ws(":", "hub", "cell_a", "cell_b").alias("tile")
+    sides = meet.select("hub", F.col("cell_a").alias("cell"), name, F.lit(0).alias("side")).unionByName(meet.where("cell_a < cell_b").select("hub", F.col("cell_b").alias("cell"), name, F.lit(1).alias("side")))
+    across = cells.join(sides, ["hub", "cell"]).select("tile", "hub", "cls", "side", "known")
+    return found.unionByName(stored(_verified(docs, key, text, firsts, across), made))
+
+
+def join(docs: DataFrame, key: str = "doc_id", text: str = "text", tile: int = TILE) -> DataFrame:
     """doc_id, digest (xxhash64 of the text), n_shingles, cls (class of equal sets), component: a row per document.
 
     ``component`` is the struct (doc_id, digest) of the component's first document, null for empty sets.
     """
     ready(docs.sparkSession)
-    buckets = 1 << max(0, math.ceil(math.log2(max(1, docs.count()) / bucket_documents)))
-    sketch = stored(_sketch(docs, key, text, buckets))
-    rows = sketch.where(F.col("bucket").isNull()).select("doc_id", "digest", "ref", "cls", "n", "sent")
-    blocks = sketch.where(F.col("bucket").isNotNull()).select("bucket", "ref", "codes", "owners")
-    shared = blocks.groupBy("bucket").applyInPandas(lambda b: _shared(b, buckets), "home long, codes binary, owners binary, counts binary")
-    homes = rows.where("n > 0").select("ref", "cls", "n", "sent").mapInPandas(
-        lambda parts: (p.assign(home=_home(p["ref"].to_numpy(), buckets)) for p in parts), "ref long, cls long, n long, sent long, home long"
-    )
-    prefixes = stored(homes.groupBy("home").cogroup(shared.groupBy("home")).applyInPandas(_prefixes, "code long, cls long"))
-    hubs = prefixes.groupBy("code").agg(F.min("cls").alias("hub"))
-    candidates = components(prefixes.join(hubs, "code"), "cls", "hub")
-    firsts = stored(rows.where("n > 0").groupBy("cls").agg(F.first("n").alias("n"), _first()))  # copies are combined before the shuffle
-    links = stored(_links(docs, key, text, firsts, candidates, tile))
-    groups = components(links, "a", "b")
-    named = firsts.join(groups, F.col("cls") == F.col("node"), "left").select("cls", F.coalesce("component", "cls").alias("group"), "first")
-    named = stored(named)
+    made: list = []
+    sketch = stored(_sketch(docs, key, text), made)
+    rows = sketch.where("n > 0")
+    coded = F.when(F.col("codes").isNotNull(), F.col("ref"))
+    firsts = rows.groupBy("cls").agg(F.first("n").alias("n"), _first(), F.min(coded).alias("ref"), F.count(coded).alias("tasks"))  # copies are combined before the shuffle
+    firsts = stored(firsts, made)
+    coded = sketch.where("codes is not null")
+    again = stored(coded.select("cls", "ref").join(firsts.where("tasks > 1").select("cls", F.col("ref").alias("kept")), "cls").where("ref <> kept").select("ref"), made)
+    often = sketch.where("often is not null").select(F.explode("often").alias("o")).select("o.*")
+    prefixes = stored(_prefixes(coded.join(again, "ref", "left_anti").select("ref", "n", "codes"), often, made), made)
+    stars = stored(_stars(prefixes).join(firsts.select("ref", "cls"), "ref").drop("ref"), made)
+    groups = components(_links(docs, key, text, firsts, stars, tile, made), "a", "b", made)
+    named = stored(firsts.join(groups, F.col("cls") == F.col("node"), "left").select("cls", F.coalesce("component", "cls").alias("group"), "first"), made)
     least = named.groupBy("group").agg(F.min_by("first", F.struct(F.col("first.doc_id").isNull(), "first")).alias("component"))
     place = named.join(least, "group").select(F.col("cls").alias("of"), "component")
-    return rows.join(place, (F.col("cls") == F.col("of")) & (F.col("n") > 0), "left").select("doc_id", "digest", F.col("n").alias("n_shingles"), "cls", "component")
+    whole = sketch.where("n is not null").select("doc_id", "digest", "cls", "n").join(place, (F.col("cls") == F.col("of")) & (F.col("n") > 0), "left")
+    out = stored(whole.select("doc_id", "digest", F.col("n").alias("n_shingles"), "cls", "component"))
+    release(made)
+    return out
 
 
 def _first():

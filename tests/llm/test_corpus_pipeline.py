@@ -56,3 +56,39 @@ def test_stages_equal_brute_force(spark, tmp_path):
     assert abs(total[1] - total[0]) < 0.1 * total[0]
     check([(r["doc_id"], r["text"]) for r in out[3]], out[4], 1024)
     assert cp.run(spark, str(tmp_path)).count() == len(out[4])
+
+
+def test_results_of_two_runs_stay(spark, tmp_path):
+    """What a later run stores and deletes does not touch an earlier run's result."""
+    write(spark, tmp_path)
+    a = cp.run(spark, str(tmp_path))
+    b = cp.run(spark, str(tmp_path))
+    first = a.count()
+    assert first == b.count() > 0 and a.count() == first
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    lines = cp.lines(spark, docs, str(tmp_path))
+    copies = cp.near_duplicates(spark, docs, str(tmp_path))
+    assert lines.count() > 0 and copies.count() > 0
+
+
+def test_stages_of_an_empty_table(spark, tmp_path):
+    write(spark, tmp_path)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0)
+    for _, stage in cp.STAGES:
+        assert stage(spark, docs, str(tmp_path)).count() == 0
+
+
+def test_stages_with_clashing_columns_and_repeated_rows(spark, tmp_path):
+    """Extra columns named like the stages' own stay; repeated rows are one document."""
+    rows = write(spark, tmp_path)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    names = ["counts", "kept", "digest", "text_digest", "gone", "cls", "component", "n", "ref", "size", "number", "target", "sequence_id"]
+    wide = docs.union(docs.where("doc_id < 5")).selectExpr("*", *[f"doc_id * 2 as {c}" for c in names])
+    for i, (_, stage) in enumerate(cp.STAGES[:-1]):
+        out = stage(spark, wide, str(tmp_path))
+        assert out.columns == wide.columns, i
+        found = out.collect()
+        assert found and all(r[c] == (r["doc_id"] * 2) for r in found for c in names)
+        wide = cp.stored(out)
+    ids = [r["doc_id"] for r in cp.near_duplicates(spark, wide, str(tmp_path)).collect()]
+    assert len(ids) == len(set(ids)) <= len(rows)

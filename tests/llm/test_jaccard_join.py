@@ -54,7 +54,7 @@ def corpus(seed, groups=25):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("options", [{}, {"tile": 4, "bucket_documents": 20}, {"tile": 2, "bucket_documents": 5}])
+@pytest.mark.parametrize("options", [{}, {"tile": 4}, {"tile": 2}])
 def test_equals_brute_force(spark, options):
     rows = corpus(1 + len(options)) + [(900, None), (901, ""), (902, " \t"), (903, "one"), (904, "ONE"), (905, "one two"), (906, "É a b c d"), (907, "é a b c d"), (None, "one"), (908, "lonely text of some words here"), (908, "lonely text of some words here"), (909, "z " * 30_000)]
     docs = spark.createDataFrame([(d, t, 1, "x", "y") for d, t in rows], "doc_id long, text string, n int, cls string, component string")
@@ -120,3 +120,41 @@ def test_components(spark):
         if len(part) > 1:
             assert {got[i] for i in part} == {min(part)}
     assert graphs.components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_hot_shingles_are_not_dealt_out(spark, monkeypatch):
+    """A passage in a third of the documents: no code of it is in a prefix, and no key has more than its bound of rows."""
+    monkeypatch.setattr(jj, "HOT_LEAST", 200)
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(5000)]
+    passage = " ".join(rng.choices(words, k=15))
+    rows = []
+    for d in range(20_000):
+        own = " ".join(rng.choices(words, k=40))
+        rows.append((d, own + (f" {passage}" if d % 3 == 0 else "")))
+    rows += [(20_000, rows[0][1] + " extra"), (20_001, passage), (20_002, passage + " a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sketch = jj.stored(jj._sketch(docs, "doc_id", "text"))
+    often = sketch.where("often is not null").selectExpr("explode(often) o").select("o.*")
+    prefixes = jj.stored(jj._prefixes(sketch.where("codes is not null"), often, []))
+    assert prefixes.where("not hot").groupBy("code").count().agg({"count": "max"}).first()[0] < 200
+    stars = jj._stars(prefixes)
+    assert stars.groupBy("hub").count().agg({"count": "max"}).first()[0] <= 200  # of 6,667: those with hardly a counted shingle of their own
+    found = {r["doc_id"]: r["component_id"] for r in jj.report(docs).collect()}
+    assert found[20_000] == 0 and found[20_002] == 20_001 and sum(d != c for d, c in found.items()) == 2
+
+
+def test_large_stars_meet_across_cells(spark):
+    """Near copies of one text, more than a tile holds, some linked only across cells, and others that only share a passage."""
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for d in range(150):
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4])):
+            copy[rng.randrange(len(copy))] = f"x{d}"
+        rows.append((d, " ".join(copy)))
+    rows += [(1000 + d, " ".join(base[:8] + [f"y{d}_{i}" for i in range(3 + d % 5)])) for d in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for tile in (7, 40):
+        assert sorted((tuple(r) for r in jj.report(docs, tile=tile).collect()), key=repr) == brute(rows)
