@@ -6,57 +6,34 @@ All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from functools import wraps
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomcurate.llm import jaccard_join, line_dedup, packing, quality_rules, source_mix
-from loomcurate.llm.common import BLANKS, release, stored, table, written
-
-_scratch: list = []
-
-
-def stage(f):
-    """A stage that first deletes what the stage before stored for itself: that stage's result is a table by now."""
-
-    @wraps(f)
-    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        release([t for t in _scratch if t[0] is spark])
-        before = written()
-        out = f(spark, docs, sf_dir)
-        _scratch[:] = [t for t in written() if t not in before]
-        return out
-
-    return run_stage
+from loomcurate.llm.common import BLANKS, gathering, release, stored, table
 
 
-@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the certified thresholds reject go."""
     return quality_rules.apply(docs, table(spark, sf_dir, "labels"))
 
 
-@stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Boilerplate lines go, but for their first place; so do documents of which nothing is left. n_chars follows the text."""
     cleaned = line_dedup.clean(docs).where(F.btrim("text", F.lit(BLANKS)) != "")
     return cleaned.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
-@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the least id."""
     return jaccard_join.apply(docs)
 
 
-@stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are left out, kept or repeated as their source's target asks."""
     return source_mix.apply(docs)
 
 
-@stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences."""
     return packing.report(docs)
@@ -69,9 +46,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces and sequences that all stages make of ``documents``."""
-    docs = table(spark, sf_dir, "documents")
-    for i, (_, apply) in enumerate(STAGES):
-        docs = apply(spark, docs, sf_dir)
-        docs = docs if i == len(STAGES) - 1 else stored(docs)
-    return docs
+    """The pieces and sequences that all stages make of ``documents``.
+
+    Each stage's result is a table; what the stage stored on the way, and the result before it, go once it is written.
+    The returned frame reads only tables of its own call, which stay as long as any plan reads them.
+    """
+    docs, before = table(spark, sf_dir, "documents"), []
+    for _, apply in STAGES[:-1]:
+        with gathering() as made:
+            result = stored(apply(spark, docs, sf_dir))
+        latest = made.pop()
+        release(made + before)
+        docs, before = result, [latest]
+    return STAGES[-1][1](spark, docs, sf_dir)
