@@ -4,8 +4,8 @@
 2. Prefix filter. Under any fixed order of shingles, two linked sets share one of their first n // 5 + 1. The order used
    puts a part of the shingles (by hash bits) first, the rarer ones in front, so passages and lines that many documents
    share come late. Codes that a fixed share of all rows have are few: pools of documents report what is frequent in them,
-   the sums are broadcast, and hot codes come last in the order and are never dealt out. All others are dealt out by code
-   once, to be counted; a code nobody else has is not sent on.
+   the sums are broadcast, and hot codes come last in the order, their rows dealt out one by one. All others are dealt out
+   by code once, to be counted; a code nobody else has is not sent on.
 3. Classes that share a prefix code meet at a star: the code's first class. A star holds a class once, however many codes
    they share, and stars are not chained into components.
 4. Stars are searched in size-banded tiles of bounded weight: small stars share tiles, a large one is cut into cells by set
@@ -162,20 +162,25 @@ def _sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key), F.col(text), F.xxhash64(F.col(text))).mapInArrow(run, schema)
 
 
+def _dealt_by_code():
+    """Rows of a code together; rows of a hot code each apart."""
+    return Window.partitionBy("code", F.when(F.col("hot"), F.col("ref")))
+
+
 def _prefixes(coded: DataFrame, often: DataFrame, made: list) -> DataFrame:
     """(code, ref, n, hot): the shared codes in the prefix of each class.
 
     ``coded``: ref, n, codes; a row per class, named by a number whose neighbours are alike and so shuffles small.
     ``often``: code, rows. Sums of ``often`` find the hot codes: of more than 1 / ``HOT_SHARE`` of all rows and ``HOT_LEAST``.
     By this there are at most ``HOT_SHARE`` of them, so they are broadcast; they come last in the order. All others are
-    dealt out by code once and counted there; such a key has at most a hot code's least rows and ``OFTEN`` of each pool.
+    dealt out by code and counted there; such a key has at most a hot code's least rows and ``OFTEN`` of each pool.
     """
     total = coded.agg(F.sum(F.size("codes"))).first()[0] or 0
     hot = often.groupBy("code").agg(F.sum("rows").alias("df")).where(F.col("df") >= max(HOT_LEAST, total // HOT_SHARE))
-    hot = F.broadcast(stored(hot, made))
+    hot = stored(hot.select("code", F.lit(True).alias("hot")), made)
     pairs = coded.select("ref", (F.shiftleft("n", 32) + F.size("codes")).alias("sizes"), F.explode("codes").alias("code"))
-    cold = pairs.join(hot.select("code"), "code", "left_anti").withColumn("df", F.count("*").over(Window.partitionBy("code"))).where("df > 1")
-    known = cold.withColumn("hot", F.lit(False)).unionByName(pairs.join(hot, "code").withColumn("hot", F.lit(True)))
+    pairs = pairs.join(F.broadcast(hot), "code", "left")
+    known = pairs.withColumn("hot", F.coalesce("hot", F.lit(False))).withColumn("df", F.count("*").over(_dealt_by_code())).where("hot or df > 1")
     own = Window.partitionBy("ref")
     ranked = known.withColumn("rank", F.row_number().over(own.orderBy("hot", "df", "code"))).withColumn("shared", F.count("*").over(own))
     n, sent = F.shiftright("sizes", 32), F.col("sizes").bitwiseAND(F.lit((1 << 32) - 1))
@@ -188,11 +193,11 @@ def _stars(prefixes: DataFrame) -> DataFrame:
 
     Any two classes that share a prefix code meet at its hub, and the many codes of a group of near copies have few hubs.
     """
-    by_code = Window.partitionBy("code")
-    cold = prefixes.where("not hot").select("ref", "n", F.min("ref").over(by_code).alias("hub"), F.count("*").over(by_code).alias("members")).where("members > 1")
-    hubs = prefixes.where("hot").groupBy("code").agg(F.min("ref").alias("hub"), F.count("*").alias("members")).where("members > 1")
-    hot = prefixes.where("hot").join(F.broadcast(hubs), "code")  # at most as many as there are hot codes
-    return cold.select("hub", "ref", "n").unionByName(hot.select("hub", "ref", "n")).groupBy("hub", "ref").agg(F.first("n").alias("n"))
+    hubs = prefixes.where("hot").groupBy("code").agg(F.min("ref").alias("hot_hub"), F.count("*").alias("hot_members"))  # no more than hot codes
+    by_code = _dealt_by_code()
+    met = prefixes.withColumn("hub", F.min("ref").over(by_code)).withColumn("members", F.count("*").over(by_code)).join(F.broadcast(hubs), "code", "left")
+    met = met.withColumn("hub", F.coalesce("hot_hub", "hub")).where(F.coalesce("hot_members", "members") > 1)
+    return met.groupBy("hub", "ref").agg(F.first("n").alias("n"))
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
