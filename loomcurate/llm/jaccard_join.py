@@ -49,13 +49,13 @@ NUMERATOR, DENOMINATOR = 80, 100
 COUNTED_SIXTEENTHS = 8
 #: Most codes that can be hot (each has more than this part of all rows), and the least rows of a hot code.
 HOT_SHARE, HOT_LEAST = 1 << 17, 1_000
-#: Shingles of a pool of documents, and how often a code must occur in one to be reported as a likely hot code.
-POOL, OFTEN = 1 << 21, 16
+#: Codes of a pool of documents, and how often a code must occur in one to be reported as a likely hot code.
+POOL, OFTEN = 1 << 19, 16
 #: Most weight of a tile: a class weighs 1, and one more for each LONG_SET shingles.
 TILE, LONG_SET = 1_500, 1_000
 SIGNATURE_BITS = 4096
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
-_KNOWN_WORDS, _KNOWN_CLASSES = 2_000_000, 1_000_000
+_KNOWN_WORDS, _KNOWN_CLASSES = 1 << 18, 1 << 20
 #: Most bits of the bitmap that a second scan is filtered by: 8 MB.
 NAME_BITS = 1 << 26
 
