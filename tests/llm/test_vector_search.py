@@ -41,7 +41,7 @@ def test_small_tables_are_exact_with_edges(spark):
     good += [(200 + i, good[0][1]) for i in range(40)]  # equal vectors: ties to the smaller id
     good += [(300, [float(5 * x) for x in good[3][1]]), (7, good[7][1])]  # a longer vector, a repeated row
     bad = [(401, None), (402, [0.0] * 6), (403, [1.0, None, 0, 0, 0, 0]), (404, [float("nan")] + [1.0] * 5), (405, [float("inf")] + [1.0] * 5), (406, []), (407, [1.0, 2.0]), (None, good[1][1])]
-    got, want = results(vs.search(frame(spark, good + bad))), brute(good)
+    got, want = results(vs.search(frame(spark, good + bad), exact=True)), brute(good)
     assert set(got) == set(want)
     for q in want:
         assert [r[0] for r in got[q]] == list(range(1, 21))
@@ -57,15 +57,48 @@ def test_fewer_candidates_than_asked(spark):
     assert vs.search(frame(spark, [(20, [1.0])])).count() == 0
 
 
-@pytest.mark.parametrize("blocks", [(16_384, 4_096), (300, 30)])
-def test_recall(spark, monkeypatch, blocks):
-    monkeypatch.setattr(vs, "BLOCK_ROWS", blocks[0])
-    monkeypatch.setattr(vs, "BLOCK_QUERIES", blocks[1])
-    rng = np.random.default_rng(2)
-    x = rng.normal(size=(3000, 32))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
+def unit(x):
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def recall(got, want):
+    return sum(len({r[1] for r in got[q]} & {i for _, i in want[q]}) for q in want) / sum(len(w) for w in want.values())
+
+
+@pytest.mark.parametrize("block_rows", [4096, 300])
+def test_recall(spark, monkeypatch, block_rows):
+    monkeypatch.setattr(vs, "BLOCK_ROWS", block_rows)
+    x = unit(np.random.default_rng(2).normal(size=(3000, 32)))
     items = [(i, v.tolist()) for i, v in enumerate(x)]
     got, want = results(vs.search(frame(spark, items))), brute(items)
-    hits = sum(len({r[1] for r in got[q]} & {i for _, i in want[q]}) for q in want)
     assert set(got) == set(want) and all(len(r) == 20 for r in got.values())
-    assert hits / (20 * len(want)) >= 0.9
+    assert recall(got, want) >= 0.9
+
+
+@pytest.mark.parametrize("n", [30, 100, 250, 600])
+def test_recall_on_small_tables(spark, n):
+    x = unit(np.random.default_rng(n).normal(size=(n, 64)))
+    items = [(i, v.tolist()) for i, v in enumerate(x)]
+    assert recall(results(vs.search(frame(spark, items), every=2)), brute(items, every=2)) >= 0.9
+
+
+def test_share_scored_falls(spark):
+    rng = np.random.default_rng(6)
+    shares = [vs.share_scored(frame(spark, [(i, v.tolist()) for i, v in enumerate(unit(rng.normal(size=(n, 32))))])) for n in (500, 5_000)]
+    assert shares[1] < 0.6 * shares[0] <= 0.9
+
+
+def test_codes_follow_rows_and_probes_are_the_greatest_margins():
+    for n in (1, 7, 100, 3_000, 10**6, 10**9):
+        hashes = vs.hash_axes(n, 128)
+        size = int(np.prod([2 * h for h in hashes])) if hashes else 1
+        assert size <= max(1, n // vs.BUCKET_ROWS) < 4 * size
+    x = np.random.default_rng(3).normal(size=(5, 10))
+    hashes = [16, 4]
+    got = vs.probes(x, 16, hashes, 2, 9)
+    for t in range(2):
+        a, b = vs.margins(x, 16, t, hashes)
+        for i in range(5):
+            sums = sorted(((-(a[i, j] + b[i, k]), j * 8 + k) for j in range(32) for k in range(8)))[:9]
+            assert {c | t << 56 for _, c in sums} == set(got[i, t * 9 : t * 9 + 9].tolist())
+    assert all(vs.codes(x, 16, hashes, 2)[i, t] in got[i] for i in range(5) for t in range(2))
