@@ -9,9 +9,9 @@ table. ``exact=True`` probes everything. Candidates get their exact inner produc
 Inner products of vectors of unequal length are reduced to angles: rows are grouped in bands of like length, and within a
 band padded by the one component that makes lengths equal; queries probe every band.
 
-Vectors are dealt out once, to blocks of at most ``BLOCK_ROWS`` rows with like codes. Between tables and blocks only codes and ids
-are joined; a query's vector goes once to each block that has a code it probes. A task holds one block, streams the block's queries
-past it, and multiplies each query by its own candidates. Equal vectors are collapsed to one with its smallest ids (one more
+Vectors are dealt out once, to blocks of at most ``BLOCK_ROWS`` rows with like codes; a query goes once to each block, with the
+codes it probes. A task holds one block, streams the queries past it, looks its rows up by code, and multiplies each query by its
+own candidates alone, so no pair is ever a row. Equal vectors are collapsed to one with its smallest ids (one more
 than are asked for suffice), so a vector that fills a third of the table is hashed and compared once. To the driver come only
 counts per first axis (twice the dimension, for each band). A query that finds fewer rows than asked for, while there are
 more, is compared with all rows in a second turn.
@@ -40,7 +40,7 @@ TABLES, NEAREST = 10, 20
 EVERY = 20
 #: Rows a code, and the share of codes that a query probes in a table: PROBED * rows ** -DECAY.
 BUCKET_ROWS, PROBED, DECAY = 4, 1.85, 0.45
-BLOCK_ROWS = 4_096
+BLOCK_ROWS = 8_192
 SEED = 8
 
 
@@ -248,16 +248,12 @@ class Index:
             for batch in batches:
                 for part in (batch.slice(at, 64) for at in range(0, batch.num_rows, 64)):
                     x = _matrix(part)
-                    found = probes(x / np.sqrt((x**2).sum(axis=1))[:, None], axes, hashes, tables, count)
-                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array(list(found), pa.list_(pa.int64()))], names=["vid", "probes"])
-
-        if count == there:  # all rows of all blocks
-            pairs = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.last_block).cast("long"))).alias("block"), "vid", F.array(F.lit(-1).cast("long")).alias("codes"))
-        else:
-            present = self.dealt.select(F.explode("codes").alias("code"), "block").distinct()
-            probed = asked.select("vid", "v").mapInArrow(probe, "vid long, probes array<long>").select("vid", F.explode("probes").alias("code"))
-            pairs = probed.join(present, "code").groupBy("block", "vid").agg(F.collect_list("code").alias("codes"))
-        queries = pairs.join(self.dealt.select("vid", "vector"), "vid").select("block", F.col("vid").alias("query"), "vector", F.lit(None).cast("binary").alias("ids"), "codes")
+                    found = [[-1]] * len(x) if count == there else list(np.sort(probes(x / np.sqrt((x**2).sum(axis=1))[:, None], axes, hashes, tables, count), axis=1))
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.array([v.tobytes() for v in x.astype("<f8")], pa.binary()), pa.array(found, pa.list_(pa.int64()))], names=["vid", "vector", "codes"])
+
+        probed = asked.select("vid", "v").mapInArrow(probe, "vid long, vector binary, codes array<long>")
+        every_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.last_block).cast("long"))).alias("block")
+        queries = probed.select(every_block, F.col("vid").alias("query"), "vector", F.lit(None).cast("binary").alias("ids"), "codes")
         rows = self.dealt.select("block", F.lit(None).cast("long").alias("query"), "vector", "ids", "codes")
         met = rows.unionByName(queries).repartition("block").sortWithinPartitions("block", "query")  # a block's rows first
         return met.mapInArrow(_scan(self.nearest), "vid long, away double, vec_id long, scored long")
