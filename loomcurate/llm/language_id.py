@@ -11,14 +11,15 @@ largest proportion, and that proportion is the score.
 Training collects a count per language and at most languages x features sums, a size that does not grow with the corpus; documents are then
 scored in one pass without a shuffle. Language, source and id are never inputs of a prediction.
 
-Defined cases: null text, and text without any letter, is ``und`` with score 0; with nothing to learn from, every
-document is ``und``; a null id is neither held out nor trained on; ties go to the language first in code point order;
-repeated rows get the same prediction.
+Defined cases: null text, and text without any letter, is ``und`` with score 0 (letters are what Unicode calls letters, not
+numbers such as one half); with nothing to learn from, every document is ``und``; a null id is neither held out nor trained on;
+ties go to the language first in code point order; repeated rows get the same prediction; of very long texts all trigrams
+count, in longer runs (``MOST_RUNS``); more than ``MOST_LANGUAGES`` labels are an error; an empty table gives no rows; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,11 +33,15 @@ from .common import ready
 FEATURES = 1 << 15
 SAMPLE_DOCUMENTS = 6_000
 FOLDS = 5
-RUN = 8
+#: Trigrams of a run; a text of more than RUN * MOST_RUNS trigrams is cut into longer runs, so memory is bounded.
+RUN, MOST_RUNS = 8, 1 << 16
+#: Trigrams whose likelihoods are held at once.
+CHUNK = 1 << 16
+#: More languages than this are a fault in the labels: the model would not fit a worker.
+MOST_LANGUAGES = 2_000
 SEEDS = 1 << 40
 SMOOTHING = 0.1
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 @lru_cache(maxsize=1)
@@ -44,6 +49,11 @@ def _letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether any character is a letter: number forms such as one half or a Roman numeral's sign are none."""
+    return text is not None and any(map(str.isalpha, text))
+
+
 def features(text: str) -> np.ndarray:
     """Hashed trigrams of the lower-cased text in order, all that is not a letter read as one space."""
     low = text.lower().encode("utf-32-le", "surrogatepass")
@@ -79,7 +89,9 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     seed = F.pmod(F.xxhash64(F.lit("train"), F.col(key)), F.lit(SEEDS))
     usable = docs.where((fold(F.col(key)) != 0) & F.col(lang).isNotNull())
     usable = usable.where(F.col(text).rlike("\\p{L}")).select(F.col(lang).alias("lang"), F.col(text).alias("text"), seed.alias("seed"))
-    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min("seed").alias("least")).collect()  # a row per language
+    sizes = usable.groupBy("lang").agg(F.count("*").alias("n"), F.min("seed").alias("least")).limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"{len(sizes)} different labels in {lang}; at most {MOST_LANGUAGES} languages can be learned")
     level = water_level([r["n"] for r in sizes], sample)
     # the least seed is always taken, so that repeated ids or a low level leave no language out
     limits = [(r["lang"], SEEDS if r["n"] <= level else max(int(level / r["n"] * SEEDS), r["least"] + 1)) for r in sizes]
@@ -90,7 +102,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for name, whole in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if _LETTER.search(whole := whole.as_py()):
+                if has_letter(whole := whole.as_py()):
                     found = sums.setdefault(name, np.zeros(FEATURES, dtype=np.int64))
                     found += np.bincount(features(whole), minlength=FEATURES)
         for name, found in sums.items():
@@ -107,6 +119,14 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     return names, np.log(counts / counts.sum(axis=0, keepdims=True)).astype(np.float32)
 
 
+def likelihoods(found: np.ndarray, model: np.ndarray) -> np.ndarray:
+    """Log likelihoods of the runs (runs x languages): runs of ``RUN`` trigrams, or of as many more as keep to ``MOST_RUNS`` runs."""
+    length = RUN * -(-len(found) // (RUN * MOST_RUNS))
+    step = max(1, CHUNK // length) * length  # whole runs at a time
+    parts = [np.add.reduceat(model[found[at : at + step]], np.arange(0, len(found[at : at + step]), length), axis=0, dtype=np.float64) for at in range(0, len(found), step)]
+    return np.concatenate(parts)
+
+
 def mixture(runs: np.ndarray, use: np.ndarray, steps: int = 30) -> tuple[np.ndarray, float]:
     """Proportions of the languages ``use`` for log likelihoods ``runs`` (runs x languages), and the log likelihood."""
     own = runs[:, use]
@@ -125,10 +145,9 @@ def mixture(runs: np.ndarray, use: np.ndarray, steps: int = 30) -> tuple[np.ndar
 
 def proportions(text: str | None, names: list[str], model: np.ndarray) -> list[tuple[str, float]]:
     """The languages chosen for a text with their proportions, largest first."""
-    if not text or not names or not _LETTER.search(text):
+    if not names or not has_letter(text):
         return []
-    scores = model[features(text)]
-    runs = np.add.reduceat(scores, np.arange(0, len(scores), RUN), axis=0).astype(np.float64)
+    runs = likelihoods(features(text), model)
     single = runs.sum(axis=0)
     use = np.arange(len(names))
     part, fit = mixture(runs, use)

@@ -1,7 +1,7 @@
 import hashlib
 
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from loomcurate.llm import chat_format as cf
@@ -39,10 +39,10 @@ def test_read_back_equals_the_turns(spark, options):
 def test_windows_keep_system_and_history(spark):
     rows = [(1, 0, "system", "sys"), *((1, i, "user" if i % 2 else "assistant", f"turn number {i} " * 3) for i in range(1, 12))]
     table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    windows = cf.format_windows(table, budget=90, history_turns=2).orderBy("window").collect()
+    windows = cf.format_windows(table, budget=160, history_turns=2).orderBy("window").collect()
     assert len(windows) > 2 and sum(w["n_new"] for w in windows) == 12
     for w in windows:
-        assert w["n_tokens"] <= 90 and w["text"].startswith("<|im_start|>system\nsys<|im_end|>\n")
+        assert w["n_tokens"] <= 160 and w["text"].startswith("<|im_start|>system\nsys<|im_end|>\n")
         assert all("assistant" in w["text"][: s["start"]].rpartition("<|im_start|>")[2] for s in w["loss"])
     assert any(w["n_repeated"] > 1 for w in windows[1:]) and windows[0]["n_repeated"] == 0
 
@@ -50,3 +50,48 @@ def test_windows_keep_system_and_history(spark):
 def test_empty(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert cf.format_windows(empty).count() == 0 and cf.report(empty).count() == 1
+
+
+def plain_windows(turns, budget, history_turns, share):
+    """Another way to the same windows: the longest span whose sum fits what repeated turns leave."""
+    out, i = [], 0
+    while i < len(turns):
+        repeated = []
+        if i:
+            room = budget - turns[i][2]
+            if turns[0][0] == "system" and turns[0][2] <= room:
+                repeated, room = [0], room - turns[0][2]
+            past = [j for j in range(max(0, i - history_turns), i) if not (j == 0 and turns[0][0] == "system")]
+            while past and (sum(turns[j][2] for j in past) > min(room, int(budget * share))):
+                past = past[1:]
+            repeated += past
+        end = i + 1
+        while end < len(turns) and sum(turns[j][2] for j in repeated) + sum(t[2] for t in turns[i : end + 1]) <= budget:
+            end += 1
+        out.append((repeated, list(range(i, end))))
+        i = end
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(1, 130), min_size=1, max_size=25), st.booleans(), st.integers(0, 5), st.sampled_from([0, 0.25, 1]))
+def test_windows_keep_the_budget(sizes, system, history_turns, share):
+    turns = [("system" if i == 0 and system else "user", str(i), n) for i, n in enumerate(sizes)]
+    found = list(cf.windows_of(iter(turns), 100, history_turns, share))
+    for w in found:
+        assert w.tokens <= 100 or (len(w.new) == 1 and not w.repeated)
+        assert w.tokens == sum(t[2] for t in [*w.repeated, *w.new])
+    assert [([int(t[1]) for t in w.repeated], [int(t[1]) for t in w.new]) for w in found] == plain_windows(turns, 100, history_turns, share)
+
+
+def test_tokens_are_those_of_the_text(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizers.path(cf.VOCABULARY))
+    texts = ["be brief \n", " lead", "tabs\t\n\n", TRAP, "<|endoftext|>", "", "don't 123456", "\u00e9t\u00e9 \u4e2d\u6587", "word " * 90, "x\n"]
+    rows = [(c, i, ["system", "user", "assistant", "odd role"][i % 4], t) for c in range(3) for i, t in enumerate(texts[c:] + texts[:c])]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for w in cf.format_windows(table, budget=60).collect():
+        assert w["n_tokens"] == len(own.encode(w["text"], add_special_tokens=False).ids)
+        assert w["n_tokens"] <= 60 or (w["n_new"] == 1 and w["n_repeated"] == 0)
