@@ -6,9 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 PERSONA = (
-    "You design systems from first principles. Name the basic building blocks a problem needs and say why the constraints ask for them. "
-    "State the requirements with numbers, sketch the architecture, go deep on the two or three parts that matter most, and weigh what each "
-    "choice gives up. Describe failure modes, and what changes at ten and a hundred times the load. Speak of patterns, not of vendors."
+    "You answer questions on how to build software systems. Start from what the question states, show the arithmetic behind every size you "
+    "name, and pick the plainest design that carries it. Say which facts would change your choice. Name no company or product."
 )
 
 

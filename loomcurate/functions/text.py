@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -97,12 +99,15 @@ def allowed_pattern(leads: list[str]) -> str:
 def brand_leak(text: Column, terms: list[str] = BRANDS, leads: list[str] = ALLOWED_LEADS) -> Column:
     """The first term, in list order, that the text names; null if none, or if an allowed lead occurs anywhere."""
     low = F.lower(text)
-    first = F.coalesce(*[F.when(low.rlike(brand_pattern([t])), F.lit(t)) for t in terms])
-    return F.when(low.rlike(brand_pattern(terms)) & ~low.rlike(allowed_pattern(leads)), first)
+    plain = [t for t in terms if re.fullmatch(r"\w+", t)]  # these cannot overlap, so one scan finds them all
+    hits = F.regexp_extract_all(low, F.lit(f"(?<![\\p{{L}}\\p{{N}}_])({'|'.join(plain)})(?![\\p{{L}}\\p{{N}}_])"), F.lit(1)) if plain else F.array().cast("array<string>")
+    others = [F.when(low.rlike(brand_pattern([t])), F.lit(i).cast("long")) for i, t in enumerate(terms, 1) if t not in plain]
+    places = F.concat(F.transform(hits, lambda t: F.array_position(F.lit(terms), t)), F.array(*others) if others else F.array().cast("array<bigint>"))
+    return F.when(~low.rlike(allowed_pattern(leads)), F.get(F.lit(terms), F.coalesce(F.array_min(places), F.lit(0)).cast("int") - 1))
 
 
 def brand_reason(leak: Column) -> Column:
-    return F.when(leak.isNull(), F.lit("OK")).otherwise(F.concat(F.lit("Brand leak: "), leak))
+    return F.coalesce(F.concat(F.lit("Brand leak: "), leak), F.lit("OK"))
 
 
 # What is taken out of a page's HTML, in order, and the entities that are restored.
@@ -110,15 +115,28 @@ _DROPPED = ["(?s)<!--.*?-->"] + [f"(?is)<{tag}[^>]*>.*?</{tag}>" for tag in ("sc
 _ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")]
 
 
+_LINK = "(?is)<a\\s[^>]*href=[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
+
+
+def _character(number: Column) -> Column:
+    """The character of a decimal code point."""
+    return F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32")
+
+
 def html_text(html: Column) -> Column:
-    """Main text of a page: scripts first, then block ends as line ends, tags as spaces. Null where nothing is left."""
+    """Main text of a page: scripts first, links as [text](address), cells by bars, block ends as line ends, other tags as
+    spaces, entities restored. Null where nothing is left."""
     out = html
     for pattern in _DROPPED:
         out = F.regexp_replace(out, pattern, "")
-    out = F.regexp_replace(out, "(?i)</(p|div|h[1-6]|li)>|<br\\s*/?>", "\n")
+    out = F.regexp_replace(out, _LINK, "[$2]($1)")
+    out = F.regexp_replace(F.regexp_replace(out, "(?i)</t[dh]>", " | "), "(?i)</(p|div|h[1-6]|li|tr)>|<br\\s*/?>", "\n")
     out = F.regexp_replace(F.regexp_replace(out, "<[^>]+>", " "), "[ \\t]+", " ")
-    for entity, char in _ENTITIES:
+    for entity, char in _ENTITIES[:-1]:
         out = F.replace(out, F.lit(entity), F.lit(char))
+    numbers = F.array_distinct(F.regexp_extract_all(out, F.lit("&#([0-9]{2,6});"), F.lit(1)))
+    out = F.aggregate(numbers, out, lambda s, n: F.replace(s, F.concat(F.lit("&#"), n, F.lit(";")), _character(n)))
+    out = F.replace(out, F.lit(_ENTITIES[-1][0]), F.lit(_ENTITIES[-1][1]))
     out = F.btrim(F.regexp_replace(F.regexp_replace(out, " ?\\n ?", "\n"), "\\n{2,}", "\n"), F.lit(" \n"))
     return F.nullif(out, F.lit(""))
 
@@ -128,8 +146,13 @@ def html_title(html: Column) -> Column:
 
 
 def html_meta(html: Column, name: str) -> Column:
-    """Content of ``<meta name=... content=...>``; null if absent or empty."""
-    return F.nullif(F.regexp_extract(html, f'(?is)<meta[^>]*(?:name|property)="{name}"[^>]*content="([^"]*)"', 1), F.lit(""))
+    """Content of ``<meta name=... content=...>``, in any order and with either quote; null if absent or empty."""
+    return first_filled(*[F.regexp_extract(html, p, g) for p in meta_patterns(name) for g in (1, 2)])
+
+
+def meta_patterns(name: str) -> list[str]:
+    named, content = f"(?:name|property)\\s*=\\s*[\"']{name}[\"']", "content\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)')"
+    return [f"(?is)<meta\\s[^>]*{named}[^>]*{content}", f"(?is)<meta\\s[^>]*{content}[^>]*{named}"]
 
 
 def first_filled(*columns: Column) -> Column:

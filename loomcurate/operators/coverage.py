@@ -50,17 +50,23 @@ def domain_imbalance(counts: DataFrame, most: float) -> DataFrame:
     return by.where(share > most).select("domain", "count", F.round(share, 3).alias("pct"))
 
 
-def _listed(rows: DataFrame, text, name: str) -> DataFrame:
-    return rows.agg(F.array_join(F.sort_array(F.collect_list(text)), ";").alias(name), F.count("*").alias(f"n_{name}"))
+def _listed(rows: DataFrame, name: str) -> DataFrame:
+    return rows.agg(F.sort_array(F.collect_list(F.struct(*rows.columns))).alias(name))
 
 
 def report(pairs: DataFrame, primitives: DataFrame, domains: DataFrame, priority: DataFrame, settings: Settings, primitive: str = "primitive", domain: str = "domain") -> DataFrame:
-    """One row: totals, the three lists as text, passed. The lists have at most a row per known name or domain."""
+    """One row: totals, the three lists of findings, the whole matrix, passed.
+
+    The lists have at most a row per known name or domain, the matrix one per primitive and domain found: sizes of the
+    taxonomy, not of the data.
+    """
     counts = matrix(pairs, primitive, domain)
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_examples"), F.count_distinct("primitive").alias("unique_primitives"))
-    under = _listed(undercovered(counts, primitives, domains, settings.min_domains), F.concat_ws(":", "primitive", "domains_covered"), "undercovered")
-    gaps = _listed(priority_gaps(counts, priority, settings.min_priority_examples), F.concat_ws(":", "primitive", "deficit"), "top10_gaps")
-    skew = _listed(domain_imbalance(counts, settings.max_domain_share), F.concat_ws(":", "domain", "count"), "domain_imbalances")
-    joined = totals.join(under).join(gaps).join(skew)
-    passed = (F.col("n_undercovered") == 0) & (F.col("n_top10_gaps") == 0) & (F.col("n_domain_imbalances") == 0)
-    return joined.select("total_examples", "unique_primitives", "undercovered", "top10_gaps", "domain_imbalances", passed.alias("passed"))
+    under = undercovered(counts, primitives, domains, settings.min_domains).select("primitive", "domains_covered", F.lit(settings.min_domains).alias("required"), F.col("missing").alias("missing_domains"))
+    gaps = priority_gaps(counts, priority, settings.min_priority_examples)
+    skew = domain_imbalance(counts, settings.max_domain_share)
+    by = counts.where("primitive is not null").groupBy("primitive").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("domain", F.lit("")).alias("domain"), "n"))).alias("domains"))
+    whole = by.agg(F.map_from_entries(F.collect_list(F.struct("primitive", F.map_from_entries("domains")))).alias("coverage_matrix"))
+    joined = totals.join(_listed(under, "undercovered_primitives")).join(_listed(gaps, "top10_gaps")).join(_listed(skew, "domain_imbalances")).join(whole)
+    found = F.size("undercovered_primitives") + F.size("top10_gaps") + F.size("domain_imbalances")
+    return joined.withColumn("passed", found == 0)

@@ -47,8 +47,10 @@ def since(rows: DataFrame, when: Column, start: Column) -> DataFrame:
     return rows.where(when.isNull() | (when >= start))
 
 
-def in_taxonomy(rows: DataFrame, column: str, names: list[str]) -> DataFrame:
-    """Rows whose value is a known name (the list is the taxonomy: fixed and short)."""
+def in_taxonomy(rows: DataFrame, column: str, names: list[str] | DataFrame) -> DataFrame:
+    """Rows whose value is a known name: of a list (the taxonomy: fixed and short), or of a dimension's ``name``."""
+    if isinstance(names, DataFrame):
+        return rows.join(names.select(F.col("name").alias("_name")), F.col(column) == F.col("_name"), "left_semi")
     return rows.where(F.col(column).isin(names))
 
 

@@ -44,7 +44,7 @@ def max_similarity(rows: DataFrame, key: str, vector: str, block: int = BLOCK) -
     ready(rows.sparkSession)
     kind = rows.schema[key].dataType.simpleString()
     some = rows.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
-    blocks = max(1, math.ceil(some.count() / block))
+    blocks = max(1, math.ceil(rows.select(key).count() / block))  # the vectors are not computed for the count
     own = F.pmod(F.xxhash64("id", "vector"), F.lit(blocks)).cast("int")
     # block b meets every block c: as the left side where b <= c, as the right one where b > c
     tile = F.explode(F.transform(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda c: F.struct(F.least(own, c).alias("a"), F.greatest(own, c).alias("b"))))

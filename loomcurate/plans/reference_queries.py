@@ -5,16 +5,17 @@ Documents stand in for posts, questions and answers; labels for scores; orders a
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .. import taxonomy
+from .. import encoders, taxonomy
 from ..functions import chat
 from ..functions import text as tx
 from ..operators import balance, coverage, gates, keyed, similarity, stats
-from ..providers import Offline, ask
+from ..providers import Offline, ask_batch
 from ..settings import Settings
 from . import phases
 
@@ -69,10 +70,14 @@ def _html_sql() -> str:
     out = "html"
     for pattern in tx._DROPPED:
         out = f"regexp_replace({out}, {_sql(pattern)}, '', 'g')"
-    out = f"regexp_replace({out}, '(?i)</(p|div|h[1-6]|li)>|<br\\s*/?>', chr(10), 'g')"
+    out = f"regexp_replace({out}, {_sql(tx._LINK)}, '[\\2](\\1)', 'g')"
+    out = f"regexp_replace(regexp_replace({out}, '(?i)</t[dh]>', ' | ', 'g'), '(?i)</(p|div|h[1-6]|li|tr)>|<br\\s*/?>', chr(10), 'g')"
     out = f"regexp_replace(regexp_replace({out}, '<[^>]+>', ' ', 'g'), '[ \\t]+', ' ', 'g')"
-    for entity, char in tx._ENTITIES:
+    for entity, char in tx._ENTITIES[:-1]:
         out = f"replace({out}, {_sql(entity)}, {_sql(char)})"
+    plain = f"replace({out}, '&amp;', '&')"
+    numbered = f"list_reduce(list_prepend({out}, list_distinct(regexp_extract_all({out}, '&#([0-9]{{2,6}});', 1))), lambda s, n: replace(s, '&#' || n || ';', chr(n::int)))"
+    out = f"case when regexp_matches({out}, '&#[0-9]{{2,6}};') then replace({numbered}, '&amp;', '&') else {plain} end"
     return f"nullif(trim(regexp_replace(regexp_replace({out}, ' ?\\n ?', chr(10), 'g'), '\\n{{2,}}', chr(10), 'g'), ' ' || chr(10)), '')"
 
 
@@ -82,12 +87,13 @@ def html_main_text(spark, sf_dir):
     return rows.where(F.col("markdown").isNotNull())
 
 
-_META = "nullif(regexp_extract(html, '(?is)<meta[^>]*(?:name|property)=\"{0}\"[^>]*content=\"([^\"]*)\"', 1), '')"
+def _meta_sql(name: str) -> str:
+    return "coalesce(" + ", ".join(f"nullif(regexp_extract(html, {_sql(p)}, {g}), '')" for p in tx.meta_patterns(name) for g in (1, 2)) + ")"
 
 
 @query(
     "select page_id, coalesce(nullif(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ''), nullif(url, '')) title, "
-    f"{_META.format('author')} author, coalesce({_META.format('date')}, 'undated') published from pages"
+    f"{_meta_sql('author')} author, coalesce({_meta_sql('date')}, 'undated') published from pages"
 )
 def page_metadata(spark, sf_dir):
     html = F.col("html")
@@ -151,9 +157,11 @@ def normalized_hash(spark, sf_dir):
     return _t(spark, sf_dir, "documents").select("doc_id", tx.normalized_hash(F.col("text")).alias("digest"))
 
 
-@query("select doc_id, lang from documents order by doc_id limit 25")
+@query("select doc_id, lang from documents where doc_id not in (select doc_id from labels where doc_id is not null) order by doc_id limit 25")
 def limit_after_resume(spark, sf_dir):
-    return keyed.first_rows(_t(spark, sf_dir, "documents").select("doc_id", "lang"), 25, "doc_id")
+    """The limit counts rows that are still to be done."""
+    rows = keyed.remaining(_t(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", _t(spark, sf_dir, "labels"), "doc_id")
+    return keyed.first_rows(rows, 25, "doc_id")
 
 
 # ---- taxonomy
@@ -161,7 +169,8 @@ def limit_after_resume(spark, sf_dir):
 @query("select p_partkey, p_type from part where p_type in (select p_type from (select p_type, row_number() over (order by p_type) r from part group by p_type) where r > 1)")
 def taxonomy_filter(spark, sf_dir):
     part = _t(spark, sf_dir, "part")
-    known = [r["p_type"] for r in part.select("p_type").distinct().orderBy("p_type").collect()][1:]  # the types are the taxonomy here
+    known = part.select(F.col("p_type").alias("name")).distinct()  # the types are the taxonomy here
+    known = known.join(known.agg(F.min("name").alias("least"))).where(F.col("name") != F.col("least"))
     return keyed.in_taxonomy(part, "p_type", known).select("p_partkey", "p_type")
 
 
@@ -202,21 +211,14 @@ def multi_turn_ids(spark, sf_dir):
 
 
 @query(
-    "select doc_id, replace(replace(replace('Q: {question} of {domain} at {scale}', '{question}', substring(text, 1, 80) || ' {domain}'), '{domain}', coalesce(source, 'none')), '{scale}', lang) prompt from documents"
+    "select doc_id, replace(replace(replace('Q: {question} of {domain} at {scale}', '{question}', text || ' {domain}'), '{domain}', coalesce(source, 'none')), '{scale}', lang) prompt from documents"
 )
 def prompt_fill(spark, sf_dir):
-    question = F.concat(F.substring("text", 1, 80), F.lit(" {domain}"))
+    question = F.concat("text", F.lit(" {domain}"))
     values = {"question": question, "domain": F.coalesce("source", F.lit("none")), "scale": F.col("lang")}
     return _t(spark, sf_dir, "documents").select("doc_id", tx.fill(F.lit("Q: {question} of {domain} at {scale}"), values).alias("prompt"))
 
 
-@query(ORACLE_SQL["prompt_fill"].replace("substring(text, 1, 80)", "text"))
-def prompt_fill_all(spark, sf_dir):
-    """``prompt_fill`` with whole texts."""
-    values = {"question": F.concat("text", F.lit(" {domain}")), "domain": F.coalesce("source", F.lit("none")), "scale": F.col("lang")}
-    return _t(spark, sf_dir, "documents").select("doc_id", tx.fill(F.lit("Q: {question} of {domain} at {scale}"), values).alias("prompt"))
-
-
 _GROUND = """with l as (select doc_id post_id, quality, toxic, 0 pos from labels union all select doc_id, 1 - quality, toxic, 1 from labels where doc_id % 3 = 0),
 last as (select post_id, arg_max(quality, pos) quality, arg_max(toxic, pos) toxic from l group by post_id)
 select doc_id, case when post_id is null then 'unknown' else 'quality ' || quality end g_primitive,
@@ -226,15 +228,28 @@ case when post_id is null then 'none' else 'lesson ' || post_id end g_lesson fro
 
 @query(_GROUND)
 def grounding_context(spark, sf_dir):
-    labels = _t(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("post_id"), "quality", "toxic", F.lit(0).alias("pos"))
-    again = labels.where("post_id % 3 = 0").select("post_id", (1 - F.col("quality")).alias("quality"), "toxic", F.lit(1).alias("pos"))
+    order = [F.lit(1).cast("long").alias("batch"), F.lit(0).cast("long").alias("position")]
+    labels = _t(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("post_id"), "quality", "toxic", *order)
+    again = labels.where("post_id % 3 = 0").select("post_id", (1 - F.col("quality")).alias("quality"), "toxic", F.lit(2).cast("long").alias("batch"), "position")
     some = F.when(F.col("toxic") == 1, F.array(F.lit("toxic"), F.lit("flagged"))).otherwise(F.array().cast("array<string>"))
     annotations = labels.unionByName(again).select(
         "post_id", F.concat(F.lit("quality "), "quality").alias("primary_primitive"), some.alias("constraints"), some.alias("tradeoffs"), some.alias("failure_modes"),
-        F.concat(F.lit("lesson "), "post_id").alias("domain_independent_lesson"), "pos",
+        F.concat(F.lit("lesson "), "post_id").alias("domain_independent_lesson"), "batch", "position",
     )
     questions = _t(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("source_annotation_id"))
-    return phases.grounded(questions, annotations, "pos").select("doc_id", "g_primitive", "g_constraints", "g_lesson")
+    return phases.grounded(questions, annotations).select("doc_id", "g_primitive", "g_constraints", "g_lesson")
+
+
+@query(
+    "with r as (select doc_id, text response, 1 batch, doc_id position from documents union all select doc_id, 'later ' || lang, 2, -doc_id from documents where lang is not null), "
+    "l as (select *, row_number() over (partition by doc_id order by batch desc, position desc) i from r) select doc_id id, response from l where i = 1"
+)
+def pairs_last_wins(spark, sf_dir):
+    """Answered questions with the response that was appended last, whatever its text."""
+    docs = _t(spark, sf_dir, "documents")
+    first = docs.select(F.col("doc_id").alias("question_id"), F.col("text").alias("response"), F.lit(1).cast("long").alias("batch"), F.col("doc_id").alias("position"))
+    later = docs.where("lang is not null").select(F.col("doc_id").alias("question_id"), F.concat(F.lit("later "), "lang").alias("response"), F.lit(2).cast("long").alias("batch"), (-F.col("doc_id")).alias("position"))
+    return phases.pairs(docs.select(F.col("doc_id").alias("id")), first.unionByName(later)).select("id", "response")
 
 
 @query("select conv_id, turn, coalesce(lag(text) over (partition by conv_id order by turn), 'none') context from conversations where role = 'user'")
@@ -337,23 +352,24 @@ def judge_accept(spark, sf_dir):
 
 # ---- coverage
 
-_PAIRS = "pairs as (select p_{0} primitive, n_name domain from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey{1})"
+_PAIRS = "pairs as (select {0} primitive, n_name domain from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey)"
 
 
-def _pairs(spark, sf_dir, column: str, thin: bool = False) -> DataFrame:
+def _pairs(spark, sf_dir, column: str) -> DataFrame:
     rows = _t(spark, sf_dir, "lineitem")
-    rows = rows.where("l_orderkey % 97 = 0") if thin else rows  # a sparse matrix, as the rules find nothing in the dense one
     rows = rows.join(_t(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).join(_t(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
     rows = rows.join(_t(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-    return rows.select(F.col(column).alias("primitive"), F.col("n_name").alias("domain"))
+    return rows.select(F.expr(column).alias("primitive"), F.col("n_name").alias("domain"))
 
 
 def _dimensions(spark, sf_dir, column: str) -> tuple[DataFrame, DataFrame]:
-    names = _t(spark, sf_dir, "part").select(F.col(column).alias("name")).distinct()
+    names = _t(spark, sf_dir, "part").select(F.expr(column).alias("name")).distinct()
     return names, _t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("position"), F.col("n_name").alias("name"))
 
 
-_DENSE, _THIN = _PAIRS.format("type", ""), _PAIRS.format("brand", " where l_orderkey % 97 = 0")
+#: Brand and size together are so many that some pairs with a nation are rare or missing, so that the rules find something.
+_FINE = "p_brand || '/' || p_size"
+_DENSE, _SPARSE = _PAIRS.format("p_type"), _PAIRS.format(_FINE)
 
 
 @query(f"with {_DENSE} select primitive, domain, count(*) n from pairs group by 1, 2")
@@ -361,96 +377,70 @@ def coverage_matrix(spark, sf_dir):
     return coverage.matrix(_pairs(spark, sf_dir, "p_type"))
 
 
-_COLUMNS = tuple(f"NATION_{i}" for i in range(8))
-
-
-@query(f"with {_DENSE} select primitive, " + ", ".join(f"count(*) filter (domain = '{c}') \"{c}\"" for c in _COLUMNS) + " from pairs group by 1")
-def coverage_pivot(spark, sf_dir):
-    return coverage.pivot(_pairs(spark, sf_dir, "p_type"), list(_COLUMNS))
-
-
 #: All of nation, a fixed table of 25 rows.
 _NATIONS = tuple(f"NATION_{i}" for i in range(25))
 
 
 @query(f"with {_DENSE} select primitive, " + ", ".join(f"count(*) filter (domain = '{c}') \"{c}\"" for c in _NATIONS) + ', count(*) "Total" from pairs group by 1')
-def coverage_pivot_all(spark, sf_dir):
-    """``coverage_pivot`` with a column for every nation, and the total over all pairs."""
+def coverage_pivot(spark, sf_dir):
+    """A column for every nation, and the total over all pairs."""
     return coverage.pivot(_pairs(spark, sf_dir, "p_type"), list(_NATIONS), total="Total")
 
 
-_UNDER = """c as (select primitive, domain, count(*) n from pairs group by 1, 2), names as (select distinct p_brand primitive from part),
+_UNDER = f"""c as (select primitive, domain, count(*) n from pairs group by 1, 2), names as (select distinct {_FINE} primitive from part),
 under as (select names.primitive, count(c.domain) domains_covered, string_agg(n_name, ',' order by n_nationkey) filter (c.domain is null) missing
 from names cross join nation left join c on c.primitive = names.primitive and c.domain = n_name group by 1 having count(c.domain) < 15)"""
 
 
-@query(f"with {_THIN}, {_UNDER} select primitive, domains_covered, coalesce(missing, '') missing from under")
+@query(f"with {_SPARSE}, {_UNDER} select primitive, domains_covered, coalesce(missing, '') missing from under")
 def undercovered(spark, sf_dir):
-    names, domains = _dimensions(spark, sf_dir, "p_brand")
-    found = coverage.undercovered(coverage.matrix(_pairs(spark, sf_dir, "p_brand", thin=True)), names, domains, 15)
+    names, domains = _dimensions(spark, sf_dir, _FINE)
+    found = coverage.undercovered(coverage.matrix(_pairs(spark, sf_dir, _FINE)), names, domains, 15)
     return found.withColumn("missing", F.array_join("missing", ","))
 
 
 _GAPS = "gaps as (select names.primitive, coalesce(sum(n), 0)::bigint count, 25 required, (25 - coalesce(sum(n), 0))::bigint deficit from names left join c using (primitive) group by 1 having coalesce(sum(n), 0) < 25)"
 
 
-@query(f"with {_THIN}, {_UNDER}, {_GAPS} select * from gaps")
+@query(f"with {_SPARSE}, {_UNDER}, {_GAPS} select * from gaps")
 def priority_gaps(spark, sf_dir):
-    names, _ = _dimensions(spark, sf_dir, "p_brand")
-    return coverage.priority_gaps(coverage.matrix(_pairs(spark, sf_dir, "p_brand", thin=True)), names, 25)
+    names, _ = _dimensions(spark, sf_dir, _FINE)
+    return coverage.priority_gaps(coverage.matrix(_pairs(spark, sf_dir, _FINE)), names, 25)
 
 
 _SKEW = "skew as (select domain, sum(n)::bigint count, round(sum(n) / (select sum(n) from c), 3) pct from c group by 1 having sum(n) / (select sum(n) from c) > 0.05)"
 
 
-@query(f"with {_THIN}, {_UNDER}, {_SKEW} select * from skew")
+@query(f"with {_SPARSE}, {_UNDER}, {_SKEW} select * from skew")
 def domain_imbalance(spark, sf_dir):
-    return coverage.domain_imbalance(coverage.matrix(_pairs(spark, sf_dir, "p_brand", thin=True)), 0.05)
+    return coverage.domain_imbalance(coverage.matrix(_pairs(spark, sf_dir, _FINE)), 0.05)
 
 
 @query(
-    f"""with {_THIN}, {_UNDER}, {_GAPS}, {_SKEW},
-u as (select coalesce(string_agg(primitive || ':' || domains_covered, ';' order by primitive || ':' || domains_covered), '') undercovered, count(*) nu from under),
-g as (select coalesce(string_agg(primitive || ':' || deficit, ';' order by primitive || ':' || deficit), '') top10_gaps, count(*) ng from gaps),
-d as (select coalesce(string_agg(domain || ':' || count, ';' order by domain || ':' || count), '') domain_imbalances, count(*) nd from skew)
-select (select coalesce(sum(n), 0)::bigint from c) total_examples, (select count(distinct primitive) from c) unique_primitives, undercovered, top10_gaps, domain_imbalances, nu + ng + nd = 0 passed from u, g, d"""
+    f"""with {_SPARSE}, {_UNDER}, {_GAPS}, {_SKEW},
+u as (select string_agg(primitive || ':' || domains_covered || '/15:' || coalesce(missing, ''), ';' order by primitive) undercovered, count(*) nu from under),
+g as (select string_agg(primitive || ':' || count || '/25:' || deficit, ';' order by primitive) top10_gaps, count(*) ng from gaps),
+d as (select string_agg(domain || ':' || count || ':' || round(1000 * pct)::int, ';' order by domain) domain_imbalances, count(*) nd from skew),
+m as (select string_agg(primitive || ':' || domain || ':' || n, ';' order by primitive, domain) matrix from c)
+select (select coalesce(sum(n), 0)::bigint from c) total_examples, (select count(distinct primitive) from c) unique_primitives, coalesce(undercovered, '') undercovered, coalesce(top10_gaps, '') top10_gaps,
+coalesce(domain_imbalances, '') domain_imbalances, coalesce(matrix, '') matrix, nu + ng + nd = 0 passed from u, g, d, m"""
 )
 def coverage_report(spark, sf_dir):
-    names, domains = _dimensions(spark, sf_dir, "p_brand")
+    """The whole report, its lists and its matrix as text."""
+    names, domains = _dimensions(spark, sf_dir, _FINE)
     settings = Settings(min_domains=15, min_priority_examples=25, max_domain_share=0.05)
-    return coverage.report(_pairs(spark, sf_dir, "p_brand", thin=True), names, domains, names, settings)
+    found = coverage.report(_pairs(spark, sf_dir, _FINE), names, domains, names, settings)
 
+    def listed(column: str, line) -> Column:
+        return F.array_join(F.transform(column, line), ";").alias(column.removesuffix("_primitives"))
 
-_BRANDS = _PAIRS.format("brand", "")
-
-
-@query(f"with {_BRANDS}, {_UNDER} select primitive, domains_covered, coalesce(missing, '') missing from under")
-def undercovered_all(spark, sf_dir):
-    """``undercovered`` over all pairs."""
-    names, domains = _dimensions(spark, sf_dir, "p_brand")
-    found = coverage.undercovered(coverage.matrix(_pairs(spark, sf_dir, "p_brand")), names, domains, 15)
-    return found.withColumn("missing", F.array_join("missing", ","))
-
-
-@query(f"with {_BRANDS}, {_UNDER}, {_GAPS} select * from gaps")
-def priority_gaps_all(spark, sf_dir):
-    """``priority_gaps`` over all pairs."""
-    names, _ = _dimensions(spark, sf_dir, "p_brand")
-    return coverage.priority_gaps(coverage.matrix(_pairs(spark, sf_dir, "p_brand")), names, 25)
-
-
-@query(f"with {_BRANDS}, {_UNDER}, {_SKEW} select * from skew")
-def domain_imbalance_all(spark, sf_dir):
-    """``domain_imbalance`` over all pairs."""
-    return coverage.domain_imbalance(coverage.matrix(_pairs(spark, sf_dir, "p_brand")), 0.05)
-
-
-@query(ORACLE_SQL["coverage_report"].replace(_THIN, _BRANDS))
-def coverage_report_all(spark, sf_dir):
-    """``coverage_report`` over all pairs."""
-    names, domains = _dimensions(spark, sf_dir, "p_brand")
-    settings = Settings(min_domains=15, min_priority_examples=25, max_domain_share=0.05)
-    return coverage.report(_pairs(spark, sf_dir, "p_brand"), names, domains, names, settings)
+    cells = F.flatten(F.transform(F.array_sort(F.map_keys("coverage_matrix")), lambda p: F.transform(F.array_sort(F.map_keys(F.col("coverage_matrix")[p])), lambda d: F.concat_ws(":", p, d, F.col("coverage_matrix")[p][d]))))
+    return found.select(
+        "total_examples", "unique_primitives",
+        listed("undercovered_primitives", lambda x: F.concat_ws(":", x["primitive"], F.concat_ws("/", x["domains_covered"], x["required"]), F.array_join(x["missing_domains"], ","))),
+        listed("top10_gaps", lambda x: F.concat_ws(":", x["primitive"], F.concat_ws("/", x["count"], x["required"]), x["deficit"])),
+        listed("domain_imbalances", lambda x: F.concat_ws(":", x["domain"], x["count"], F.round(1000 * x["pct"]).cast("int"))), F.array_join(cells, ";").alias("matrix"), "passed",
+    )
 
 
 # ---- composition
@@ -504,41 +494,27 @@ def _message_sql(role: str, content: str, channel: str | None = None) -> str:
     return f"struct_pack(role := '{role}', content := {content}, channel := {_sql(channel) if channel else 'null::varchar'})"
 
 
-_CHAT = "[" + ", ".join([_message_sql("developer", _P), _message_sql("user", "substring(text, 1, 60)"), _message_sql("assistant", "substring(text, 61, 90)", "analysis"), _message_sql("assistant", "substring(text, 151, 120)", "final")]) + "]"
 _RENDER = "array_to_string(list_transform({0}, lambda m: '<|start|>' || m.role || coalesce('<|channel|>' || m.channel, '') || '<|message|>' || m.content || '<|end|>'), '')"
 
 
-def _single(spark, sf_dir) -> DataFrame:
-    t = F.col("text")
-    messages = chat.single_turn(F.substring(t, 1, 60), F.substring(t, 61, 90), F.substring(t, 151, 120))
-    return _t(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", messages.alias("messages"))
-
-
-@query(f"select doc_id, i position, m.role \"role\", m.content content, m.channel channel from (select doc_id, unnest({_CHAT}) m, unnest(range(4)) i from documents)")
-def single_turn_chat(spark, sf_dir):
-    rows = _single(spark, sf_dir).select("doc_id", F.posexplode("messages").alias("position", "m"))
-    return rows.select("doc_id", "position", "m.role", "m.content", "m.channel")
-
-
 #: First character after a third, and after two thirds, of a text: question, analysis and answer together hold all of it.
 _THIRDS = ("(length(text) // 3 + 1)", "(length(text) // 3 * 2 + 1)")
-_WHOLE_CHAT = "[" + ", ".join([
+_CHAT = "[" + ", ".join([
     _message_sql("developer", _P), _message_sql("user", f"substring(text, 1, {_THIRDS[0]} - 1)"),
     _message_sql("assistant", f"substring(text, {_THIRDS[0]}, {_THIRDS[1]} - {_THIRDS[0]})", "analysis"), _message_sql("assistant", f"substring(text, {_THIRDS[1]})", "final"),
 ]) + "]"
 
 
-def _whole(spark, sf_dir) -> DataFrame:
+def _single(spark, sf_dir) -> DataFrame:
     t = F.col("text")
     third = F.floor(F.char_length(t) / 3).cast("int")
     messages = chat.single_turn(F.substring(t, F.lit(1), third), F.substring(t, third + 1, third), F.substring(t, third * 2 + 1, F.char_length(t)))
-    return _t(spark, sf_dir, "documents").select("doc_id", messages.alias("messages"))
+    return _t(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", messages.alias("messages"))
 
 
-@query(ORACLE_SQL["single_turn_chat"].replace(_CHAT, _WHOLE_CHAT))
-def single_turn_chat_all(spark, sf_dir):
-    """``single_turn_chat`` with whole texts."""
-    rows = _whole(spark, sf_dir).select("doc_id", F.posexplode("messages").alias("position", "m"))
+@query(f"select doc_id, i position, m.role \"role\", m.content content, m.channel channel from (select doc_id, unnest({_CHAT}) m, unnest(range(4)) i from documents)")
+def single_turn_chat(spark, sf_dir):
+    rows = _single(spark, sf_dir).select("doc_id", F.posexplode("messages").alias("position", "m"))
     return rows.select("doc_id", "position", "m.role", "m.content", "m.channel")
 
 
@@ -569,12 +545,6 @@ def chat_template(spark, sf_dir):
     return _single(spark, sf_dir).select("doc_id", chat.render(F.col("messages")).alias("text"))
 
 
-@query(f"select doc_id, {_RENDER.format(_WHOLE_CHAT)} as text from documents")
-def chat_template_all(spark, sf_dir):
-    """``chat_template`` with whole texts."""
-    return _whole(spark, sf_dir).select("doc_id", chat.render(F.col("messages")).alias("text"))
-
-
 @query(f"with {_TURNS} select conv_id, count(*) trained, sum(length(z.content))::bigint trained_chars from (select conv_id, unnest(messages) z from m) where z.role = 'assistant' and z.channel = 'final' group by 1")
 def response_mask(spark, sf_dir):
     masked = _conversations(spark, sf_dir).select("conv_id", F.filter(chat.response_mask(F.col("messages")), lambda m: m["train"]).alias("trained"))
@@ -666,7 +636,7 @@ _ASKED = f"""{_ANNOTATED}, about(name, description) as (values {_ABOUT}), dom(na
 ds as (select post_id, list(name order by i) domains from (select post_id, name, row_number() over (partition by post_id order by sha256('42:' || post_id || ':' || name)) i from a, dom) where i <= 5 group by post_id),
 p as (select a.*, domains, sha256({_filled_sql(phases.QUESTIONS, {"primitive": "primary_primitive", "primitive_description": "description", "domain_independent_lesson": "domain_independent_lesson", "constraints": "constraints", "count": "'8'", "design_count": "'4'", "domains": "array_to_string(domains, ', ')"})}) d
   from a join about on name = primary_primitive join ds using (post_id)),
-q as (select *, 'How would you build system ' || d[1:8] || '-' || i || '?' question, domains[i % 5 + 1] "domain", ({[*taxonomy.COMPOSITION][:5]})[i % 5 + 1] complexity from (select *, unnest(range(8)) i from p)),
+q as (select *, 'How would you build ' || d[8 * i + 1:8 * i + 8] || ' for ' || domains[i % 5 + 1] || '?' question, domains[i % 5 + 1] "domain", ({[*taxonomy.COMPOSITION][:5]})[i % 5 + 1] complexity from (select *, unnest(range(8)) i from p)),
 questions as (select sha256(post_id || ':' || i || ':' || question[1:50])[1:16] id, post_id source_annotation_id, primary_primitive primitive, "domain", question, complexity, 0 evol_generation, i from q),
 mt as (select *, sha256({_filled_sql(phases.TURNS, {"primitive": "primitive", "domain": '"domain"', "initial_question": "question"})}) t from questions where i = 0)"""
 
@@ -702,10 +672,19 @@ def phase3_responses(spark, sf_dir):
     return phases.answer(questions, annotations, _no_answers(spark), Settings())
 
 
-@query()
+_ASIDE = "'TASK analysis' || chr(10) || 'Previous discussion: ' || {0} || chr(10) || 'Question: ' || {1}"
+
+
+@query(
+    f"""with {_ASKED}, mq as (select sha256('mt:' || source_annotation_id)[1:16] question_id, [question, 'And what of part ' || t[1:6] || '-0?', 'And what of part ' || t[1:6] || '-1?'] turns from mt),
+e as (select question_id, i, turns[i + 1] u, case when i = 0 then 'none' else turns[i] end prior from (select *, unnest(range(3)) i from mq)),
+told as (select *, sha256({_ASIDE.format("prior", "u")}) ha, sha256(u) hb from e)
+select question_id, i position, u "user", {_REPLY.format("task analysis", "ha")} chain_of_thought, lower(u) || ': ' || array_to_string(list_transform(range(60), lambda k: hb[k % 56 + 1:k % 56 + 8]), ' ') response from told"""
+)
 def phase3_multi_turn(spark, sf_dir):
     annotations, _, multi = _questions(spark, sf_dir)
-    return phases.answer_turns(multi, annotations, _no_answers(spark), Settings())
+    answered = phases.answer_turns(multi, annotations, _no_answers(spark), Settings())
+    return answered.select("question_id", F.posexplode("turns").alias("position", "t")).select("question_id", "position", "t.user", "t.chain_of_thought", "t.response")
 
 
 _JUDGED = f"{_FLAGS}, s as (select *, round(3 + ('0x' || sha256({_filled_sql(phases.JUDGE, {'question': 'text', 'response': 'text'})})[1:4])::bigint % 200 / 100, 2) score from g join documents using (doc_id) where passed)"
@@ -718,13 +697,32 @@ def phase4_judge(spark, sf_dir):
     return phases.judge(rows, _no_answers(spark), Settings())
 
 
-@query("select doc_id, 'ask: ' || sha256(text)[1:8] reply from documents where doc_id % 5 <> 0")
-def batch_completion(spark, sf_dir):
-    """Calls that fail (here every fifth document) drop their row."""
-    import hashlib
+class Fragile(Offline):
+    """Fails for every text whose length is a multiple of five."""
 
-    def call(provider: Offline, row: dict) -> str | None:
-        return None if row["doc_id"] % 5 == 0 else "ask: " + hashlib.sha256(row["text"].encode()).hexdigest()[:8]
+    def chat(self, messages, temperature, max_tokens):
+        if len(messages[-1]["content"]) % 5 == 0:
+            raise TimeoutError
+        return "ask: " + hashlib.sha256(messages[-1]["content"].encode()).hexdigest()[:8]
 
+
+@query("select doc_id, case when length(text) % 5 <> 0 then 'ask: ' || sha256(text)[1:8] end reply from documents")
+def batch_completion(spark, sf_dir):
+    """A failed call of a batch gives null and leaves the others."""
     rows = _t(spark, sf_dir, "documents").select("doc_id", "text")
-    return ask(rows, call, "reply", lambda: Offline("offline"), 4).select("doc_id", "reply")
+    return ask_batch(rows, "", "text", "reply", lambda: Fragile("offline", attempts=1), 4).select("doc_id", "reply")
+
+
+_TRIGRAMS = f"""u as (select conv_id || ':' || turn id, lower(text) t from conversations where role = 'user'),
+g as (select id, ('0x' || md5(x)[1:4])::bigint % {encoders.DIMENSIONS} b from (select id, unnest(case when length(t) < 3 then [t] else list_transform(range(1, length(t) - 1), lambda i: substring(t, i, 3)) end) x from u)),
+v as (select id, b, count(*)::double n from g group by 1, 2), size as (select id, sqrt(sum(n * n)) s from v group by 1),
+dot as (select x.id a, y.id o, sum(x.n * y.n) d from v x join v y on x.b = y.b and x.id <> y.id group by 1, 2),
+near as (select a id, max(d / (p.s * q.s)) best from dot join size p on p.id = a join size q on q.id = o group by 1)"""
+
+
+@query(f"with {_TRIGRAMS} select id, round(greatest(coalesce(best, 0), 0), 6) max_sim, coalesce(best, 0) < 0.94 passed_near from u left join near using (id)")
+def phase4_near_duplicates(spark, sf_dir):
+    """The near-duplicate gate with the offline encoder, over the user turns."""
+    rows = _t(spark, sf_dir, "conversations").where("role = 'user'").select(F.concat_ws(":", "conv_id", "turn").alias("id"), F.col("text").alias("question"))
+    responses = rows.select(F.col("id").alias("question_id"), F.col("question").alias("response"))
+    return phases.prefilter(rows, responses, Settings(), encoders.offline).select("id", "max_sim", "passed_near")

@@ -8,13 +8,16 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
+import threading
 import time
+import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import taxonomy
@@ -39,6 +42,7 @@ class Provider:
     least_wait: float = 2.0
     most_wait: float = 60.0
     usage: Usage = field(default_factory=Usage)
+    lock: threading.Lock = field(default_factory=threading.Lock, repr=False, compare=False)
 
     def chat(self, messages: list[dict], temperature: float, max_tokens: int) -> str:
         raise NotImplementedError
@@ -49,7 +53,8 @@ class Provider:
                 return ask()
             except Exception:
                 if attempt + 1 == self.attempts:
-                    self.usage.failed_calls += 1
+                    with self.lock:
+                        self.usage.failed_calls += 1
                     raise
                 time.sleep(min(self.most_wait, self.least_wait * 2**attempt))
 
@@ -85,9 +90,10 @@ class Provider:
             return list(pool.map(one, asks))
 
     def _count(self, reply: str, prompt: str) -> str:
-        self.usage.calls += 1
-        self.usage.prompt_tokens += len(prompt.split())
-        self.usage.completion_tokens += len(reply.split())
+        with self.lock:
+            self.usage.calls += 1
+            self.usage.prompt_tokens += len(prompt.split())
+            self.usage.completion_tokens += len(reply.split())
         return reply
 
 
@@ -106,7 +112,7 @@ class Offline(Provider):
             places = user.rpartition("Domains: ")[2].partition("\n")[0].split(", ")
             classes = list(taxonomy.COMPOSITION)[:5]
             n = int(user.rpartition("Count: ")[2].partition("\n")[0])
-            return json.dumps({"questions": [{"domain": places[i % len(places)], "question": f"How would you build system {digest[:8]}-{i}?", "complexity": classes[i % 5]} for i in range(n)]})
+            return json.dumps({"questions": [{"domain": places[i % len(places)], "question": f"How would you build {digest[8 * i % 57 :][:8]} for {places[i % len(places)]}?", "complexity": classes[i % 5]} for i in range(n)]})
         if kind == "TASK turns":
             return json.dumps({"turns": [f"And what of part {digest[:6]}-{i}?" for i in range(2)]})
         if kind == "TASK judge":
@@ -127,11 +133,82 @@ class Http(Provider):
         return self.send({"model": self.model, "messages": messages, **sizes})
 
 
+def post_json(endpoint: str, key: str | None, timeout: float = 120.0) -> Callable[[dict], str]:
+    """A ``send`` for ``Http``: posts the payload as JSON and takes the first choice's message of the answer."""
+
+    def send(payload: dict) -> str:
+        headers = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {key}"} if key else {})
+        request = urllib.request.Request(endpoint, json.dumps(payload).encode(), headers)
+        with urllib.request.urlopen(request, timeout=timeout) as answer:
+            return json.load(answer)["choices"][0]["message"]["content"]
+
+    return send
+
+
 def make(settings: Settings, model: str | None = None) -> Provider:
-    """The provider that the settings name; ``offline`` needs nothing."""
+    """The provider that the settings name: ``offline`` needs nothing, ``http`` an endpoint. Made where it is used, so a key
+    is read from the worker's environment and is in no plan."""
+    name = model or settings.teacher
     if settings.provider == "offline":
-        return Offline(model or settings.teacher, attempts=1)
-    raise ValueError(f"no provider {settings.provider}; pass a factory that makes one")
+        return Offline(name, attempts=1)
+    if settings.provider == "http" and settings.endpoint:
+        return Http(name, post_json(settings.endpoint, os.environ.get(settings.key_variable)), name in settings.reasoning_models)
+    raise ValueError(f"no provider {settings.provider}; give an endpoint, or pass a factory that makes one")
+
+
+class Meter:
+    """Sums the usage of all providers of a run over all workers. Calls of tasks that Spark runs again count again: they were paid for."""
+
+    FIELDS = ("prompt_tokens", "completion_tokens", "calls", "failed_calls")
+
+    def __init__(self, spark: SparkSession):
+        self.sums = {f: spark.sparkContext.accumulator(0) for f in self.FIELDS}
+        self.before = (0,) * len(self.FIELDS)
+
+    def metered(self, factory: Callable[[], Provider]) -> Callable[[], Provider]:
+        sums = self.sums
+
+        def made() -> Provider:
+            provider = factory()
+            provider.usage = _Metered(sums)
+            return provider
+
+        return made
+
+    def taken(self) -> tuple[int, ...]:
+        """What was used since the last time."""
+        now = tuple(self.sums[f].value for f in self.FIELDS)
+        spent = tuple(a - b for a, b in zip(now, self.before, strict=True))
+        self.before = now
+        return spent
+
+
+class _Metered(Usage):
+    """Usage whose changes also go to accumulators."""
+
+    def __init__(self, sums: dict):
+        object.__setattr__(self, "_sums", sums)
+        super().__init__()
+
+    def __setattr__(self, name: str, value: int) -> None:
+        change = value - getattr(self, name, 0)
+        super().__setattr__(name, value)
+        if change:
+            self._sums[name].add(change)
+
+
+def ask_batch(rows: DataFrame, system: str, prompt: str, into: str, factory: Callable[[], Provider], threads: int = 10) -> DataFrame:
+    """``rows`` with the reply to ``prompt`` in ``into``, by ``Provider.batch``; null where the call failed."""
+    ready(rows.sparkSession)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        provider = factory()
+        for part in parts:
+            replies = provider.batch([(system, p) for p in part[prompt]], threads)
+            yield part.assign(**{into: pd.Series(replies, index=part.index, dtype=object)})
+
+    return rows.mapInPandas(run, f"{schema}, `{into}` string")
 
 
 def ask(rows: DataFrame, call: Callable[[Provider, dict], str | None], into: str, factory: Callable[[], Provider], threads: int = 10) -> DataFrame:

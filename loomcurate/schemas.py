@@ -29,6 +29,8 @@ class Table:
         return rows
 
 
+#: Columns that ``tables.append`` adds: when a row was appended (microseconds), and its place in that append.
+ORDER = Table("batch long, position long")
 _NO_TEXTS = "cast(array() as array<string>)"
 FEEDS = Table("name string, feed_url string, site_url string", ("name", "feed_url"))
 DISCOVERED = Table("url string, title string, source_blog string, date string, categories array<string>", ("url", "title", "source_blog"))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field, fields
+from dataclasses import dataclass, field, fields
 
-from .taxonomy import COMPOSITION
+from . import taxonomy
+from .taxonomy import ALLOWED_LEADS, BRANDS, COMPOSITION
 
 
 @dataclass(frozen=True)
@@ -30,9 +31,22 @@ class Settings:
     min_priority_examples: int = 50
     max_domain_share: float = 0.25
     seed: int = 42
+    #: ``offline`` or ``http``: a chat endpoint, its key in the environment variable that ``key_variable`` names.
     provider: str = "offline"
+    endpoint: str = ""
+    key_variable: str = "MODEL_API_KEY"
+    reasoning_models: list = field(default_factory=list)
     teacher: str = "offline"
     judge: str = ""
+    #: Encoder of the near-duplicate gate: ``offline``, or empty for none (the gate then passes everything).
+    encoder: str = "offline"
+    #: A vocabulary file: the length gate then counts its tokens instead of pre-tokens.
+    vocabulary: str = ""
+    #: Files in place of the built-in dimension data and prompts: a JSON taxonomy, a list of terms by line, texts by name.
+    taxonomy_file: str = ""
+    brands_file: str = ""
+    allowed_leads: list = field(default_factory=lambda: list(ALLOWED_LEADS))
+    prompt_files: dict = field(default_factory=dict)
     #: Sampling temperatures of the model calls.
     temperatures: dict = field(default_factory=lambda: {"annotate": 0.2, "questions": 0.8, "analysis": 0.3, "answer": 0.5, "judge": 0.1})
 
@@ -48,6 +62,23 @@ class Settings:
     def judge_model(self) -> str:
         return self.judge or self.teacher
 
+    def taxonomy(self) -> taxonomy.Taxonomy:
+        return taxonomy.read(self.taxonomy_file) if self.taxonomy_file else taxonomy.Taxonomy()
+
+    def brands(self) -> list[str]:
+        """Terms that answers must not name, lower case, blank lines skipped."""
+        if not self.brands_file:
+            return BRANDS
+        with open(self.brands_file, encoding="utf-8") as f:
+            return [line.strip().lower() for line in f if line.strip()]
+
+    def prompt(self, name: str, default: str) -> str:
+        """The text of a named prompt, from its file if one is set."""
+        if name not in self.prompt_files:
+            return default
+        with open(self.prompt_files[name], encoding="utf-8") as f:
+            return f.read()
+
 
 def load(path: str | None = None, **changes) -> Settings:
     """Defaults, then a JSON file's values, then ``changes``; unknown names are an error."""
@@ -59,4 +90,4 @@ def load(path: str | None = None, **changes) -> Settings:
     unknown = set(found) - {f.name for f in fields(Settings)}
     if unknown:
         raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
-    return Settings(**(asdict(Settings()) | found))
+    return Settings(**found)

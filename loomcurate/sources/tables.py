@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 
@@ -14,11 +17,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def read(spark: SparkSession, path: str, table: schemas.Table) -> DataFrame:
-    """A validated scan: empty where the path is missing, blank lines skipped, a bad line or missing field fails."""
+def read(spark: SparkSession, path: str, table: schemas.Table, ordered: bool = False) -> DataFrame:
+    """A validated scan: empty where the path is missing, blank lines skipped, a bad line or missing field fails.
+
+    ``ordered`` adds ``batch`` and ``position``, the order in which ``append`` wrote the rows; rows that other tools wrote
+    come first, in file order.
+    """
+    schema = T.StructType([*table.schema.fields, *schemas.ORDER.schema.fields]) if ordered else table.schema
     if not exists(spark, path):
-        return spark.createDataFrame([], table.schema)
-    return table.checked(spark.read.schema(table.schema).option("mode", "FAILFAST").json(path))
+        return spark.createDataFrame([], schema)
+    rows = table.checked(spark.read.schema(schema).option("mode", "FAILFAST").json(path))
+    if ordered:
+        rows = rows.withColumns({"batch": F.coalesce("batch", F.lit(0).cast("long")), "position": F.coalesce("position", F.monotonically_increasing_id())})
+    return rows
 
 
 def write(rows: DataFrame, path: str, append: bool = False) -> None:
@@ -26,7 +37,14 @@ def write(rows: DataFrame, path: str, append: bool = False) -> None:
 
 
 def append(rows: DataFrame, path: str) -> None:
-    write(rows, path, append=True)
+    """Rows added to a table, with the time of the append and their place in it, so the last of a key can be told."""
+    write(rows.withColumns({"batch": F.lit(time.time_ns() // 1000).cast("long"), "position": F.monotonically_increasing_id()}), path, append=True)
+
+
+def kept(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` computed once: written and read again."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def count_lines(spark: SparkSession, path: str) -> int:

@@ -154,6 +154,11 @@ def extract_posts(pages: DataFrame, least_words: int, crawled_at: Column) -> Dat
     )
 
 
-def feeds_of(spark: SparkSession, path: str) -> DataFrame:
-    """The feeds of an OPML file."""
+def feeds_of(spark: SparkSession, path: str, fetch: Fetch = http_fetch) -> DataFrame:
+    """The feeds of an OPML file, or of an OPML document at an http address."""
+    if path.startswith(("http://", "https://")):
+        status, body = fetch(path)
+        if status != 200:
+            raise OSError(f"{path}: HTTP status {status}")
+        return opml_feeds(spark.createDataFrame([(body,)], "value string"), "value")
     return opml_feeds(spark.read.text(path, wholetext=True), "value")

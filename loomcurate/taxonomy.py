@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 
 # The taxonomy of primitives, by category: (name, description, priority).
@@ -88,23 +91,51 @@ COMPOSITION = {"single_primitive": 0.30, "full_system": 0.25, "cross_domain": 0.
 SKIP = "SKIP"
 
 
-def primitives(spark: SparkSession) -> DataFrame:
-    """position, category, name, description, top10: a row per primitive."""
-    flat = [(c, *p) for c, ps in PRIMITIVES.items() for p in ps]
-    return spark.createDataFrame([(i, *p) for i, p in enumerate(flat)], "position int, category string, name string, description string, top10 boolean")
+@dataclass(frozen=True)
+class Taxonomy:
+    """The primitives by category, each (name, description, priority), and the domains in force."""
 
+    categories: dict = field(default_factory=lambda: PRIMITIVES)
+    domain_names: list = field(default_factory=lambda: DOMAINS)
+
+    def primitives(self, spark: SparkSession) -> DataFrame:
+        """position, category, name, description, top10: a row per primitive."""
+        flat = [(c, *p) for c, ps in self.categories.items() for p in ps]
+        return spark.createDataFrame([(i, *p) for i, p in enumerate(flat)], "position int, category string, name string, description string, top10 boolean")
+
+    def domains(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(list(enumerate(self.domain_names)), "position int, name string")
+
+    def names(self) -> list[str]:
+        return [p[0] for ps in self.categories.values() for p in ps]
+
+    def priority(self) -> list[str]:
+        return [p[0] for ps in self.categories.values() for p in ps if p[2]]
 
-def domains(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(DOMAINS)), "position int, name string")
 
+def read(path: str) -> Taxonomy:
+    """A JSON file with ``primitives`` ({category: [{name, description, priority}]}) and ``domains``; absent parts keep their defaults."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)
+    given = {c: [(p["name"], p.get("description", p["name"]), bool(p.get("priority"))) for p in ps] for c, ps in found.get("primitives", {}).items()}
+    return Taxonomy(given or PRIMITIVES, found.get("domains") or DOMAINS)
 
-def brand_terms(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(BRANDS)), "position int, term string")
+
+def brand_terms(spark: SparkSession, terms: list[str] = BRANDS) -> DataFrame:
+    return spark.createDataFrame(list(enumerate(terms)), "position int, term string")
+
+
+def primitives(spark: SparkSession) -> DataFrame:
+    return Taxonomy().primitives(spark)
+
+
+def domains(spark: SparkSession) -> DataFrame:
+    return Taxonomy().domains(spark)
 
 
 def primitive_names() -> list[str]:
-    return [p[0] for ps in PRIMITIVES.values() for p in ps]
+    return Taxonomy().names()
 
 
 def priority_names() -> list[str]:
-    return [p[0] for ps in PRIMITIVES.values() for p in ps if p[2]]
+    return Taxonomy().priority()

@@ -157,3 +157,144 @@ def test_cli(spark, tmp_path, capsys):
     assert cli.main(["--data-dir", str(tmp_path), "generate", "phase1"], spark) == 0
     assert cli.main(["--data-dir", str(tmp_path), "stats"], spark) == 0
     assert "no export yet" in capsys.readouterr().out
+
+
+def counted(path):
+    """A factory of providers that write a line for every call to a file, so calls of all workers can be counted."""
+
+    class Counted(Offline):
+        def chat(self, messages, temperature, max_tokens):
+            with open(path, "a") as f:
+                f.write(json.dumps([messages[0]["content"] if messages[0]["role"] == "system" else "", messages[-1]["content"]]) + "\n")
+            return super().chat(messages, temperature, max_tokens)
+
+    return lambda: Counted("offline", attempts=1)
+
+
+def annotation(i, lesson="l"):
+    return (f"a{i}", "caching", [], ["c"], ["t"], ["f"], f"{lesson} {i}", f"http://x/{i}")
+
+
+def test_each_prompt_is_paid_for_once(spark, tmp_path):
+    calls = str(tmp_path / "calls")
+    project = phases.Project(spark, Settings(data_dir=str(tmp_path / "data")), factory=counted(calls))
+    tables.append(spark.createDataFrame([annotation(i) for i in range(12)], schemas.ANNOTATIONS.schema), project.path("annotations"))
+    project.phase2()
+    said = [json.loads(line) for line in open(calls)]
+    prompts = [p for _, p in said]
+    assert sum(p.startswith("TASK questions") for p in prompts) == 12 and len(prompts) == len(set(prompts)) == 24
+    assert all(system == phases.JSON_ONLY for system, _ in said)
+    first = {r["turns"][0] for r in project.table("multi_questions").collect()}
+    assert first <= {r["question"] for r in project.table("questions").collect()}
+    used = tables.read(spark, project.path("usage"), schemas.USAGE).first()
+    assert (used["phase"], used["calls"], used["failed_calls"]) == ("phase2", 24, 0) and used["prompt_tokens"] > 0 and used["completion_tokens"] > 0
+
+
+def test_the_last_append_wins(spark, tmp_path):
+    project = phases.Project(spark, Settings(data_dir=str(tmp_path / "data"), use_judge=False, min_tokens=1))
+    questions = spark.createDataFrame([("q1", "a1", "caching", "iot", "How?", "tradeoff", 0)], schemas.QUESTIONS.schema)
+    tables.append(questions, project.path("questions"))
+    for lesson in ("zzz", "aaa", "mmm"):
+        tables.append(spark.createDataFrame([annotation(1, lesson)], schemas.ANNOTATIONS.schema), project.path("annotations"))
+    for text in ("zzz first", "bbb second", "aaa last"):
+        tables.append(spark.createDataFrame([("q1", "c", text)], schemas.RESPONSES.schema), project.path("responses"))
+    grounded = phases.grounded(project.table("questions"), project.table("annotations", ordered=True).repartition(3)).first()
+    assert grounded["g_lesson"] == "mmm 1"
+    project.phase4()
+    assert project.table("filtered").first()["response"]["response"] == "aaa last"
+    plain = tmp_path / "plain.jsonl"  # rows that another tool wrote: the last line wins
+    plain.write_text("".join(json.dumps({"question_id": "q1", "chain_of_thought": "c", "response": r}) + "\n" for r in ("z", "b", "a")))
+    assert phases.pairs(questions, tables.read(spark, str(plain), schemas.RESPONSES, ordered=True)).first()["response"] == "a"
+
+
+def test_phase4_on_the_command_line_rejects_near_duplicates(spark, tmp_path):
+    data = tmp_path / "data"
+    texts = {"q1": "How would you shard a very large table of orders by customer?", "q2": "How would you shard a very large table of orders by customers?", "q3": "Design an audit log for payments."}
+    rows = [(q, "a", "sharding", "iot", t, "tradeoff", 0) for q, t in texts.items()]
+    tables.append(spark.createDataFrame(rows, schemas.QUESTIONS.schema), str(tmp_path / "asked"))
+    tables.append(spark.createDataFrame([(q, "c", f"{t} " + "word " * 60) for q, t in texts.items()], schemas.RESPONSES.schema), str(tmp_path / "answered"))
+    (tmp_path / "s.json").write_text(json.dumps({"use_judge": False}))
+    common = ["--settings", str(tmp_path / "s.json"), "--data-dir", str(data)]
+    for _ in range(2):  # the second time from the cache
+        cli.main([*common, "generate", "phase4", "--questions", str(tmp_path / "asked"), "--responses", str(tmp_path / "answered"), "--output", str(tmp_path / "kept")], spark)
+        assert [r["question"]["id"] for r in tables.read(spark, str(tmp_path / "kept"), schemas.FILTERED).collect()] == ["q3"]
+    assert spark.read.parquet(str(data / "embeddings")).count() == 3
+    sent = []
+    cli.main([*common, "export", "--input", str(tmp_path / "kept"), "--output", str(tmp_path / "set"), "--push-to-hub", "--hub-repo", "me/set"], spark, lambda rows, name: sent.append((rows.count(), name)))
+    assert sent == [(1, "me/set")] and tables.read_training(spark, str(tmp_path / "set")).count() == 1
+
+
+def test_blank_analysis_has_a_stand_in(spark):
+    class Quiet(Offline):
+        def chat(self, messages, temperature, max_tokens):
+            return "" if messages[-1]["content"].startswith("TASK analysis") else messages[0]["content"][:20] + messages[-1]["content"]
+
+    questions = spark.createDataFrame([("q1", "a1", "caching", "iot", "How?", "tradeoff", 0)], schemas.QUESTIONS.schema)
+    annotations = spark.createDataFrame([annotation(1)], schemas.ANNOTATIONS.schema)
+    got = phases.answer(questions, annotations, spark.createDataFrame([], "question_id string"), Settings(), lambda: Quiet("offline", attempts=1)).first()
+    assert f"Analysis: {phases.NO_ANALYSIS}" in got["response"] and got["response"].startswith(phases.PROMPTS["persona"][:20]) and got["chain_of_thought"] == ""
+
+
+def test_http_provider(monkeypatch):
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+    from threading import Thread
+
+    from loomcurate.providers import make
+
+    seen = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            seen.append((json.loads(self.rfile.read(int(self.headers["Content-Length"]))), self.headers.get("Authorization")))
+            body = json.dumps({"choices": [{"message": {"content": "said"}}]}).encode()
+            self.send_response(200)
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Handler)
+    Thread(target=server.serve_forever, daemon=True).start()
+    monkeypatch.setenv("SOME_KEY", "secret")
+    settings = Settings(provider="http", endpoint=f"http://127.0.0.1:{server.server_port}/chat", key_variable="SOME_KEY", teacher="t", reasoning_models=["r"])
+    assert make(settings).complete("sys", "user", 0.3, 99) == "said" and make(settings, "r").complete("sys", "user", 0.3, 99) == "said"
+    server.shutdown()
+    (plain, key), (reasoning, _) = seen
+    assert key == "Bearer secret" and plain["model"] == "t" and plain["max_tokens"] == 99 and plain["temperature"] == 0.3 and plain["messages"][0] == {"role": "system", "content": "sys"}
+    assert reasoning["max_completion_tokens"] == 99 and "temperature" not in reasoning
+    with pytest.raises(ValueError):
+        make(Settings(provider="other"))
+
+
+def test_dimension_data_and_prompts_from_files(spark, tmp_path):
+    (tmp_path / "t.json").write_text(json.dumps({"primitives": {"c": [{"name": "p1", "description": "d1", "priority": True}, {"name": "p2"}]}, "domains": ["x", "y"]}))
+    (tmp_path / "b.txt").write_text("Acme\n\n  Foo Bar \n")
+    (tmp_path / "annotate.txt").write_text("TASK annotate\n{primitives}|{content}")
+    settings = Settings(taxonomy_file=str(tmp_path / "t.json"), brands_file=str(tmp_path / "b.txt"), prompt_files={"annotate": str(tmp_path / "annotate.txt")})
+    assert settings.taxonomy().names() == ["p1", "p2"] and settings.taxonomy().priority() == ["p1"] and settings.taxonomy().domain_names == ["x", "y"]
+    assert settings.brands() == ["acme", "foo bar"]
+    row = spark.createDataFrame([("body text",)], "markdown string")
+    assert row.select(phases.annotation_prompt(F.col("markdown"), settings)).first()[0] == "TASK annotate\np1, p2|body text"
+
+
+def test_length_gate_by_vocabulary(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from loomcurate.functions.tokens import bpe_token_count
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    known = Tokenizer.from_file(path)
+    known.encode_special_tokens = True
+    texts = ["", "plain words", "d'été <|endoftext|> 12345", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(bpe_token_count(F.col("t"), path)).collect()]
+    assert got == [None if t is None else len(known.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_opml_by_address_and_extraction_counters(spark, project):
+    project.fetch = lambda url, inner=fetcher(): (200, OPML) if url.endswith("opml") else inner(url)
+    feeds = web.feeds_of(spark, "http://x/list.opml", project.fetch)
+    assert feeds.count() == 3
+    counted = project.extract(feeds).first()
+    assert counted["extracted"] == project.table("posts").count() == 4 and counted["skipped"] == 1

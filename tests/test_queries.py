@@ -52,10 +52,10 @@ def test_entry_runs(spark):
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the driver's tables")
 def test_coverage_counts_all_pairs(spark, db):
-    n, brands = db.sql("select (select count(*) from lineitem), (select count(distinct p_brand) from part)").fetchall()[0]
-    got = QUERIES["coverage_report_all"](spark, DATA).first()
-    assert got["total_examples"] == n and got["unique_primitives"] == brands
-    assert "l_orderkey" not in ORACLE_SQL["coverage_report_all"]
+    n, names = db.sql("select (select count(*) from lineitem), (select count(distinct p_brand || '/' || p_size) from part)").fetchall()[0]
+    got = QUERIES["coverage_report"](spark, DATA).first()
+    assert got["total_examples"] == n and got["unique_primitives"] == names
+    assert "l_orderkey" not in ORACLE_SQL["coverage_report"]
 
 
 def test_coverage_rules_find_what_is_short(spark):
@@ -67,13 +67,16 @@ def test_coverage_rules_find_what_is_short(spark):
     names = spark.createDataFrame([("p",), ("q",), ("r",)], "name string")
     domains = spark.createDataFrame([(0, "a"), (1, "b")], "position int, name string")
     got = coverage.report(pairs, names, domains, names, Settings(min_domains=2, min_priority_examples=3, max_domain_share=0.5)).first()
-    assert tuple(got) == (8, 2, "q:1;r:0", "q:1;r:3", "a:7", False)
+    assert [tuple(r) for r in got["undercovered_primitives"]] == [("q", 1, 2, ["b"]), ("r", 0, 2, ["a", "b"])]
+    assert [tuple(r) for r in got["top10_gaps"]] == [("q", 2, 3, 1), ("r", 0, 3, 3)]
+    assert [tuple(r) for r in got["domain_imbalances"]] == [("a", 7, 0.875)]
+    assert got["coverage_matrix"] == {"p": {"a": 5, "b": 1}, "q": {"a": 2}} and (got["total_examples"], got["unique_primitives"], got["passed"]) == (8, 2, False)
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="needs the driver's tables")
 def test_pivot_has_every_nation(spark, db):
     names = [r[0] for r in db.sql("select n_name from nation order by n_nationkey").fetchall()]
-    got = QUERIES["coverage_pivot_all"](spark, DATA).toPandas()
+    got = QUERIES["coverage_pivot"](spark, DATA).toPandas()
     assert list(got.columns) == ["primitive", *names, "Total"]
     assert (got[names].sum(axis=1) == got["Total"]).all() and got["Total"].sum() == db.sql("select count(*) from lineitem").fetchall()[0][0]
 
@@ -82,8 +85,8 @@ def test_pivot_has_every_nation(spark, db):
 def test_chats_and_prompts_hold_whole_texts(spark):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
     said = {}
-    for r in QUERIES["single_turn_chat_all"](spark, DATA).orderBy("doc_id", "position").collect():
+    for r in QUERIES["single_turn_chat"](spark, DATA).orderBy("doc_id", "position").collect():
         said.setdefault(r["doc_id"], []).append(r["content"])
     assert {d: "".join(parts[1:]) for d, parts in said.items()} == texts
-    assert all(parts[3] in r["text"] for r in QUERIES["chat_template_all"](spark, DATA).collect() for parts in [said[r["doc_id"]]])
-    assert all(texts[r["doc_id"]].split("{")[0] in r["prompt"] for r in QUERIES["prompt_fill_all"](spark, DATA).collect())
+    assert all(parts[3] in r["text"] for r in QUERIES["chat_template"](spark, DATA).collect() for parts in [said[r["doc_id"]]])
+    assert all(texts[r["doc_id"]].split("{")[0] in r["prompt"] for r in QUERIES["prompt_fill"](spark, DATA).collect())
