@@ -55,7 +55,7 @@ POOL, OFTEN = 1 << 19, 16
 TILE, LONG_SET = 1_500, 1_000
 SIGNATURE_BITS = 4096
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
-_KNOWN_WORDS, _KNOWN_CLASSES = 1 << 18, 1 << 20
+_KNOWN_WORDS, _KNOWN_CLASSES = 1 << 16, 1 << 18
 #: Most bits of the bitmap that a second scan is filtered by: 8 MB.
 NAME_BITS = 1 << 26
 

@@ -4,7 +4,12 @@ Documents become token ids and an end id; longer ones are cut into pieces of the
 what is over. Pieces (numbers only, not ids) are dealt to partitions of bounded size and packed there by best-fit
 decreasing. Dual feasible functions bound each partition's bin count from below. Where the bound is met, the partition
 is certified and only its emptiest bin is opened again; where there is a gap, all bins that are not full are. Opened
-pieces are exchanged between partitions (dealt again, into fewer) and packed again, until they fit one partition.
+pieces are exchanged between partitions (dealt again, into fewer) and packed again, until they fit one partition. Where a
+round closes hardly any bin, the next opens only each partition's emptiest bins, one more than its gap. After ``MOST_ROUNDS``
+rounds what is open is packed as it lies: no piece is lost, and ``certificate`` tells what that cost.
+
+Token ids are those of ``tokenizers`` for the vocabulary file; for a plain byte-level one ``tiktoken`` computes the same ids
+faster, and tests compare them.
 
 Defined cases: null text is empty and gives one piece, the end id alone; repeated rows are packed as separate documents;
 an empty table gives no rows; null ids are carried along. Ties are broken by length, then id, piece and digest.
@@ -31,6 +36,8 @@ CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k.json"
 PARTITION_PIECES = 20_000
+#: A round that leaves more than this share of the pieces open is followed by one that opens only the emptiest bins.
+STALLED = 0.9
 MOST_ROUNDS = 12
 
 
@@ -50,10 +57,12 @@ def encoder(path: str):
     """
     from tokenizers import Tokenizer
 
-    own = Tokenizer.from_file(path)
+    own: list = []  # loaded when it is first needed: few workers meet such a text
 
     def plain(text: str) -> list[int]:
-        return own.encode(text, add_special_tokens=False).ids
+        if not own:
+            own.append(Tokenizer.from_file(path))
+        return own[0].encode(text, add_special_tokens=False).ids
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
@@ -156,8 +165,8 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return np.array(bins, dtype=np.int64), np.array(offsets, dtype=np.int64), np.array(fill, dtype=np.int64)
 
 
-def pack_partition(items: pd.DataFrame, capacity: int) -> pd.DataFrame:
-    """``items`` with bin, offset, and settled: False for pieces that should be exchanged."""
+def pack_partition(items: pd.DataFrame, capacity: int, few: bool = False) -> pd.DataFrame:
+    """``items`` with bin, offset, and settled: False for pieces that should be exchanged (with ``few``, of the emptiest bins only)."""
     items = items.sort_values(["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
     lengths = items["length"].to_numpy()
     bins, offsets, fill = best_fit(lengths, capacity)
@@ -166,6 +175,9 @@ def pack_partition(items: pd.DataFrame, capacity: int) -> pd.DataFrame:
     if len(fill) == bound:  # certified: no packing of these pieces has fewer bins
         emptiest = int(fill.argmin())
         closed = np.arange(len(fill)) != emptiest if not closed[emptiest] else closed
+    elif few:
+        closed = np.ones(len(fill), dtype=bool)
+        closed[np.argsort(fill, kind="stable")[: len(fill) - bound + 1]] = False
     return items.assign(bin=bins, offset=offsets, settled=closed[bins])
 
 
@@ -177,14 +189,13 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, partition_pieces: int = PART
     for r in range(MOST_ROUNDS):
         n = left.count()
         parts = max(1, math.ceil(n / partition_pieces))
-        last = parts == 1 or r == MOST_ROUNDS - 1 or (before is not None and n > 0.9 * before)
+        last = parts == 1 or r == MOST_ROUNDS - 1
+        few = before is not None and n > STALLED * before
         before = n
         mixed = F.xxhash64("doc_id", "piece", "ids_crc32", "length", F.lit(r))
         dealt = left.withColumn("part", F.pmod(mixed, F.lit(parts)).cast("long"))
-        packed = dealt.groupBy("part").applyInPandas(
-            lambda items: pack_partition(items, capacity), ", ".join([*fields, "part long, bin long, offset long, settled boolean"])
-        )
-        packed = stored(packed)
+        run = (lambda few: lambda items: pack_partition(items, capacity, few))(few)
+        packed = stored(dealt.groupBy("part").applyInPandas(run, ", ".join([*fields, "part long, bin long, offset long, settled boolean"])))
         number = F.lit(r << 56) + F.col("part") * (1 << 24) + F.col("bin")
         done = packed if last else packed.where("settled")
         kept.append(done.select(*rows.columns, number.alias("sequence_id"), "offset"))
