@@ -12,7 +12,8 @@ One pass inside each document, no shuffle; the index is a constant and travels w
 
 Defined cases: null and empty texts match nothing; a document has a row for every match, so none at all without one;
 repeated rows match each; overlapping matches of one name are reported once, the best first; spans are code points
-of the whole text, end exclusive; case, punctuation and line breaks do not matter.
+of the whole text, end exclusive; case, punctuation and line breaks do not matter; texts of any length are searched whole; an
+empty table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

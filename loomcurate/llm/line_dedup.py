@@ -11,7 +11,8 @@ once, to be rewritten.
 
 Defined cases: null text has no lines and stays null; a null site is a site of its own; blank lines are never boilerplate;
 identical rows (same id and text) are one document and keep or lose the same lines; repeats inside one document are
-places like any other.
+places like any other; texts of any length are rewritten whole; an empty table gives no rows; further columns are carried
+along, whatever their names.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ Token ids are those of ``tokenizers`` for the vocabulary file; for a plain byte-
 faster, and tests compare them.
 
 Defined cases: null text is empty and gives one piece, the end id alone; repeated rows are packed as separate documents;
-an empty table gives no rows; null ids are carried along. Ties are broken by length, then id, piece and digest.
+an empty table gives no rows; null ids are carried along; texts of any length are cut, none is dropped; other columns,
+whatever their names, are not read. Ties are broken by length, then id, piece and digest.
 """
 
 from __future__ import annotations

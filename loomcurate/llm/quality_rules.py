@@ -10,7 +10,9 @@ documents. Scores are not fitted, so all labelled rows are holdout. Where no cut
 Only DataFrame expressions are used; the counts are computed inside each row, without a shuffle.
 
 Defined cases: null text has no words and fails the base; a null stratum is a stratum of its own; a document with several
-labels counts as good if any label says so; labels with null ids or values are ignored; repeated rows are judged alike.
+labels counts as good if any label says so; labels with null ids or values are ignored; repeated rows are judged alike; texts
+of any length are counted whole; an empty table gives no rows, and without labels no cutoff is certified; further columns of
+``docs`` are carried along, whatever their names.
 """
 
 from __future__ import annotations

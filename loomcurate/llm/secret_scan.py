@@ -11,7 +11,8 @@ Everything happens inside one document, in one pass with no shuffle. Cheap exact
 cannot match. Offsets are code points of the whole text, end exclusive.
 
 Defined cases: null or empty text has no spans; repeated rows are reported each; a match that fails its length test
-still consumes its characters; base spans are reported whether or not a novel span covers them.
+still consumes its characters; base spans are reported whether or not a novel span covers them; texts of any
+length are scanned whole; an empty table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ those are ranked. A source has a shard for every ``shard_words`` of its words, s
 Only DataFrame operations are used; the rows with global windows are one for each source.
 
 Defined cases: null or empty text has size 0 and is never taken; null is a source; identical rows are separate
-documents that lie next to each other on the ring; with no words at all every target is 0.
+documents that lie next to each other on the ring; with no words at all every target is 0; texts of any length are counted whole; an empty table gives
+no rows; further columns are carried along, whatever their names.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ def test_escape_is_reversible(text):
     assert cf.unescape_role(safe) == text and "<|" not in safe and "\n" not in safe
 
 
-@pytest.mark.parametrize("options", [{}, {"budget": 40}, {"budget": 8, "history_turns": 1}, {"budget": 60, "history_turns": 0}])
+@pytest.mark.parametrize("options", [{}, {"budget": 40}, {"budget": 8, "history_turns": 1}, {"budget": 60, "history_turns": 0}, {"budget": 30, "chunk_windows": 1}, {"budget": 50, "chunk_windows": 2, "history_turns": 2}])
 def test_read_back_equals_the_turns(spark, options):
     rows = [
         (1, 0, "system", "be kind"), (1, 1, "user", "hello there"), (1, 2, "assistant", "hi " * 50), (1, 3, "user", None), (1, 4, "assistant", TRAP), (1, 5, "assistant", "hi"),
@@ -53,8 +53,11 @@ def test_empty(spark):
 
 
 def plain_windows(turns, budget, history_turns, share):
+    return list(plain_windows_from(turns, 0, budget, history_turns, share))
+
+
+def plain_windows_from(turns, i, budget, history_turns, share):
     """Another way to the same windows: the longest span whose sum fits what repeated turns leave."""
-    out, i = [], 0
     while i < len(turns):
         repeated = []
         if i:
@@ -68,9 +71,8 @@ def plain_windows(turns, budget, history_turns, share):
         end = i + 1
         while end < len(turns) and sum(turns[j][2] for j in repeated) + sum(t[2] for t in turns[i : end + 1]) <= budget:
             end += 1
-        out.append((repeated, list(range(i, end))))
+        yield repeated, list(range(i, end))
         i = end
-    return out
 
 
 @settings(max_examples=300, deadline=None)
@@ -95,3 +97,33 @@ def test_tokens_are_those_of_the_text(spark):
     for w in cf.format_windows(table, budget=60).collect():
         assert w["n_tokens"] == len(own.encode(w["text"], add_special_tokens=False).ids)
         assert w["n_tokens"] <= 60 or (w["n_new"] == 1 and w["n_repeated"] == 0)
+
+
+@pytest.mark.parametrize("history_turns", [0, 1, 3])
+def test_long_conversations_are_cut_into_chunks(spark, history_turns):
+    import random
+
+    rng = random.Random(history_turns)
+    rows = [(c, i // 2 if c == 2 else i, "system" if i == 0 and c else rng.choice(["user", "assistant"]), f"{i:03d} " + "word " * rng.randrange(12)) for c in range(3) for i in range(60 if c else 5)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = cf.format_windows(table, budget=100, history_turns=history_turns, chunk_windows=3).orderBy("conv_id", "window").collect()
+    for c in range(3):
+        windows = [w for w in found if w["conv_id"] == c]
+        turns = sorted((r[1:] for r in rows if r[0] == c), key=lambda r: r)
+        sizes = [len(cf.encoder(cf.public_tokenizers.path(cf.VOCABULARY))("".join(cf.rendered(r, t)))) for _, r, t in turns]
+        number, chunk, spent = {}, [], 0
+        for turn in dict.fromkeys(r[0] for r in turns):  # the chunk of each turn number, by plain sums
+            number[turn] = spent // 300
+            spent += sum(s for s, r in zip(sizes, turns, strict=True) if r[0] == turn)
+        chunk = [number[r[0]] for r in turns]
+        assert (len(set(chunk)) > 3) == (c > 0) and sorted({w["window"] >> 32 for w in windows}) == sorted(set(chunk))
+        whole = [(r, t, s) for (_, r, t), s in zip(turns, sizes, strict=True)]
+        want, i = [], 0
+        while i < len(whole):  # the plain windows, broken also where a chunk begins
+            end = next((j for j in range(i, len(whole)) if chunk[j] != chunk[i]), len(whole))
+            repeated, new = next(w for w in plain_windows_from(whole, i, 100, history_turns, cf.HISTORY_SHARE))
+            new = [j for j in new if j < end]
+            want.append((i, len(new), "".join("".join(cf.rendered(*whole[j][:2])) for j in [*repeated, *new])))
+            i += len(new)
+        assert [(w["first_turn"], w["n_new"], w["text"]) for w in windows] == want
+        assert all(w["n_tokens"] <= 100 for w in windows)

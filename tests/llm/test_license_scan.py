@@ -88,3 +88,59 @@ def test_family_members_keep_their_names():
         edited = " ".join(w for i, w in enumerate(words) if len(words) < 400 or i % 50)
         found = names(edited)
         assert name in found and {ls._license(n) for n in found} == {ls._license(name)}, (name, found)
+
+
+def plain_alignment(template, words):
+    """(matched, start, end) of the best local alignment (match 1, mismatch and gap -1) at any place, cell by cell."""
+    best, row = (0, 0, 0, 0), [(0, 0, j) for j in range(len(words) + 1)]
+    for x in template:
+        new = [(0, 0, 0)]
+        for j, w in enumerate(words, 1):
+            fresh = row[j - 1] if row[j - 1][0] > 0 else (0, 0, j - 1)
+            cell = (fresh[0] + 1, fresh[1] + 1, fresh[2]) if x == w else (fresh[0] - 1, fresh[1], fresh[2])
+            cell = max(cell, (row[j][0] - 1, *row[j][1:]), (new[j - 1][0] - 1, *new[j - 1][1:]))
+            new.append(cell if cell[0] > 0 else (0, 0, 0))
+            if cell[0] > 0 and cell[:2] > best[:2]:
+                best = (*cell, j)
+        row = new
+    return best[1:]
+
+
+def plain_rows(text, templates):
+    """Every template aligned with the whole text; of overlapping matches of different names the one with most words."""
+    words = ls.split(text)[1]
+    found = []
+    for name, body in templates.items():
+        size = len(ls.split(body)[1])
+        matched, start, end = plain_alignment(ls.split(body)[1], words)
+        if matched >= ls.LEAST_COVERAGE * size and matched >= min(ls.LEAST_WORDS, size):
+            found.append((matched, matched / size, name, start, end))
+    kept = []
+    for m in sorted(found, key=lambda m: (-m[0], -m[1], m[3], m[2])):
+        if all(2 * (min(m[4], k[4]) - max(m[3], k[3])) <= min(m[4] - m[3], k[4] - k[3]) for k in kept):
+            kept.append(m)
+    return sorted((m[2], m[0], m[3], m[4]) for m in kept)
+
+
+def test_equals_full_alignment_at_every_place():
+    templates = {n: ls.WHOLE[n] for n in ("MIT", "ISC", "Zlib", "BSD-2-Clause")} | {n: ls.HEADERS[n] for n in ("Apache-2.0-header", "MPL-2.0-header")}
+    small = ls.Index([(n, t, "") for n, t in templates.items()])
+    rng = random.Random(21)
+    filler = [f"w{i}" for i in range(50)]
+    texts = []
+    for _ in range(24):
+        parts = [" ".join(rng.choices(filler, k=rng.randrange(20)))]
+        for name in rng.sample(sorted(templates), rng.choice([0, 1, 1, 2])):
+            words = templates[name].split()
+            rate = rng.choice([0, 0.03, 0.1])
+            words = [x for w in words for x in ([w] if rng.random() >= rate else rng.choice([[], ["changed"], [w, "added"]]))]
+            parts += [" ".join(words), " ".join(rng.choices(filler, k=rng.randrange(1, 20)))]
+        texts.append(" ".join(parts))
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = {}
+    for i, t in rows:
+        for name, _, matched, start, end in ls.matches(t, small):
+            words_before = len(ls.split(t[:start])[1])
+            got.setdefault(i, []).append((name, matched, words_before, words_before + len(ls.split(t[start:end])[1])))
+    want = {i: r for i, t in rows if (r := plain_rows(t, templates))}
+    assert {i: sorted(r) for i, r in got.items()} == want and len(want) > 10

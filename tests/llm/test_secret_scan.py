@@ -60,3 +60,50 @@ def test_a_key_used_twice_is_novel_at_both_places():
     key = "q9Zt4Lw8Vn2Xb7Rc5Jd1Kf6Gh3Ms0Py8Tu5Wa2Ee"
     code = f"authorization = '{key}'\ncall(bearer='{key}')"
     assert [code[a:b] for a, b, k in ss.spans(code) if k == "novel"] == [key, key]
+
+
+def plain_novel(text):
+    """The novel kind, place by place: every longest run of key characters, measured if it may be a key and stands in a sensitive context."""
+    import zstandard
+
+    letters = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
+    sensitive = re.compile(r"(?i:passw(or)?d|passphrase|secret|token|(api|access|private)[ _-]?key|credential|authorization|bearer|client[ _-]?id|signature)", re.ASCII)
+
+    def size(data, words):
+        primer = zstandard.ZstdCompressionDict(words.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(level=19, dict_data=primer, write_content_size=False, write_checksum=False, write_dict_id=False).compress(data))
+
+    out, i = [], 0
+    while i < len(text):
+        j = i
+        while j < len(text) and text[j] in letters:
+            j += 1
+        run = text[i:j]
+        digit, letter = any("0" <= c <= "9" for c in run), any(c.isalpha() for c in run)
+        lower, upper = any("a" <= c <= "z" for c in run), any("A" <= c <= "Z" for c in run)
+        mixed = lower and upper and not run.istitle()
+        if len(run) >= 16 and ((digit and letter) or mixed) and sensitive.search(text[max(0, i - 64) : j]):
+            before, after = text[max(0, i - 400) : i], text[j : j + 400]
+            around = f"{before} {after}"
+            pieces = re.findall(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+", run)
+            if sum(map(len, pieces)) < 4 * len(pieces):
+                around = around.replace(run, " ")
+            words = ss.IDENTIFIERS + "\n" + around
+            if (size(run.encode(), words) - size(b"", words)) / len(run) >= 0.5:
+                out.append(f"novel:{i}:{j}")
+        i = max(j, i + 1)
+    return out
+
+
+def test_novel_equals_brute_force():
+    rng = random.Random(14)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choices(chars, k=rng.choice([12, 16, 24, 40]))) for _ in range(12)]
+    bits = [*keys, "Authorization: ", "bearer ", "client_id", " the usual words of a long text ", "RefreshAccessTokenHandler2", "\n", "'", " = ", "api key ", "INTERNATIONALIZATION", "paſsword ", "é", "x" * 70 + " ", "/usr/local/lib/python3/site-packages "]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(2, 30))) for _ in range(250)]
+    found = 0
+    for text in texts:
+        got = [f"novel:{a}:{b}" for a, b, k in ss.spans(text) if k == "novel"]
+        assert got == plain_novel(text), text
+        found += len(got)
+    assert found > 100
