@@ -138,9 +138,9 @@ def _chunked(counted: DataFrame, chunk_tokens: int, history_turns: int) -> DataF
     last = F.max("chunk").over(Window_.partitionBy("key"))
     later = [F.lead("chunk", i).over(whole) for i in range(1, history_turns + 1)]
     numbers = numbers.withColumns({"last": last, "first": F.col("at") == 0, "later": F.array(*later) if later else F.array().cast("array<bigint>")}).where("last > 0")  # long ones only
-    numbers = numbers.withColumn("start", F.min("at").over(Window_.partitionBy("key", "chunk")))
+    numbers = stored(numbers.withColumn("start", F.min("at").over(Window_.partitionBy("key", "chunk"))))  # of known size: if small, no text is shuffled to meet it
     starts = numbers.where("chunk > 0").groupBy("key", "chunk").agg(F.min("turn").alias("turn"), F.min("start").alias("at"))
-    starts = starts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("turn", "chunk", "at"))).alias("starts")).withColumnRenamed("key", "of")
+    starts = stored(starts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("turn", "chunk", "at"))).alias("starts")).withColumnRenamed("key", "of"))
     # a row of the table per long conversation, and per number that later chunks look back to
     passed = F.filter("starts", lambda s: s["turn"] <= F.col("turn"))
     here = F.try_element_at(passed, F.lit(-1))
@@ -151,7 +151,7 @@ def _chunked(counted: DataFrame, chunk_tokens: int, history_turns: int) -> DataF
     looked = numbers.where("first").select("key", "turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("last"))).alias("chunk"))
     looked = looked.unionByName(numbers.select("key", "turn", F.explode(F.array_except("later", F.array("chunk"))).alias("chunk"))).where("chunk > 0").distinct()
     looked = looked.join(chunks.select(F.col("key").alias("k"), F.col("chunk").alias("c"), "start"), F.col("key").eqNullSafe(F.col("k")) & (F.col("chunk") == F.col("c")))
-    looked = looked.select(F.col("key").alias("of"), F.col("turn").alias("of_turn"), "chunk", F.col("start").alias("at"))
+    looked = stored(looked.select(F.col("key").alias("of"), F.col("turn").alias("of_turn"), "chunk", F.col("start").alias("at")))
     back = counted.join(looked, F.col("key").eqNullSafe(F.col("of")) & F.col("turn").eqNullSafe(F.col("of_turn"))).select(*counted.columns, "chunk", "at", F.lit(False).alias("own"))
     return own.unionByName(back)
 
