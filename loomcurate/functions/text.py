@@ -11,6 +11,7 @@ from ..taxonomy import ALLOWED_LEADS, BRANDS
 
 #: Unicode white space, with the separators that Python's str.split also takes.
 _BLANK = "[\\s\\x1c-\\x1f]+"
+_BLANKS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 #: Pre-tokens: runs of letters, up to three digits, other marks. Approximates a BPE length; it is not one.
 PRE_TOKEN = "\\p{L}+|\\p{N}{1,3}|[^\\s\\p{L}\\p{N}]+"
 _EDGE_BEFORE, _EDGE_AFTER = "(^|[^\\p{L}\\p{N}_])", "([^\\p{L}\\p{N}_]|$)"
@@ -58,7 +59,7 @@ def joined(items: Column, empty: str = "") -> Column:
 
 
 def stripped(text: Column) -> Column:
-    return F.regexp_replace(text, f"(?U)^{_BLANK}|{_BLANK}$", "")
+    return F.btrim(text, F.lit(_BLANKS))
 
 
 def is_blank(text: Column) -> Column:
@@ -123,6 +124,12 @@ def _character(number: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(number.cast("long")), 8, "0")), "UTF-32")
 
 
+def _numbered(text: Column) -> Column:
+    """``text`` with decimal entities restored."""
+    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit("&#([0-9]{2,6});"), F.lit(1)))
+    return F.aggregate(numbers, text, lambda s, n: F.replace(s, F.concat(F.lit("&#"), n, F.lit(";")), _character(n)))
+
+
 def html_text(html: Column) -> Column:
     """Main text of a page: scripts first, links as [text](address), cells by bars, block ends as line ends, other tags as
     spaces, entities restored. Null where nothing is left."""
@@ -134,8 +141,7 @@ def html_text(html: Column) -> Column:
     out = F.regexp_replace(F.regexp_replace(out, "<[^>]+>", " "), "[ \\t]+", " ")
     for entity, char in _ENTITIES[:-1]:
         out = F.replace(out, F.lit(entity), F.lit(char))
-    numbers = F.array_distinct(F.regexp_extract_all(out, F.lit("&#([0-9]{2,6});"), F.lit(1)))
-    out = F.aggregate(numbers, out, lambda s, n: F.replace(s, F.concat(F.lit("&#"), n, F.lit(";")), _character(n)))
+    out = F.transform(F.array(out), _numbered)[0]  # the text so far is computed once
     out = F.replace(out, F.lit(_ENTITIES[-1][0]), F.lit(_ENTITIES[-1][1]))
     out = F.btrim(F.regexp_replace(F.regexp_replace(out, " ?\\n ?", "\n"), "\\n{2,}", "\n"), F.lit(" \n"))
     return F.nullif(out, F.lit(""))
