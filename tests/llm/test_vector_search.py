@@ -1,3 +1,8 @@
+import time
+from contextlib import suppress
+from pathlib import Path
+from threading import Event, Thread
+
 import numpy as np
 import pytest
 
@@ -102,3 +107,43 @@ def test_codes_follow_rows_and_probes_are_the_greatest_margins():
             sums = sorted(((-(a[i, j] + b[i, k]), j * 8 + k) for j in range(32) for k in range(8)))[:9]
             assert {c | t << 56 for _, c in sums} == set(got[i, t * 9 : t * 9 + 9].tolist())
     assert all(vs.codes(x, 16, hashes, 2)[i, t] in got[i] for i in range(5) for t in range(2))
+
+
+def test_turns_and_parts_find_the_same(spark, monkeypatch):
+    x = unit(np.random.default_rng(4).normal(size=(800, 16)))
+    rows = frame(spark, [(i, v.tolist()) for i, v in enumerate(x)]).cache()
+    want = results(vs.search(rows, tables=3))
+    for name, value in (("BLOCK_ROWS", 100), ("TURN_BYTES", 1), ("COPIES", 0.1)):
+        monkeypatch.setattr(vs, name, value, raising=False)
+    assert results(vs.search(rows, tables=3)) == want
+
+
+def test_disk_grows_with_the_table(spark, monkeypatch):
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    folders = [*local, spark.conf.get("spark.checkpoint.dir").removeprefix("file:")]
+    for name, value in (("BLOCK_ROWS", 50), ("TURN_BYTES", 1)):  # a table a turn, in at most BLOCKS blocks
+        monkeypatch.setattr(vs, name, value, raising=False)
+
+    def used():
+        return sum(p.stat().st_size for f in folders for p in Path(f).rglob("*") if p.is_file())
+
+    def most(n):
+        x = unit(np.random.default_rng(5).normal(size=(n, 32)))
+        rows, peak, ended = frame(spark, [(i, v.tolist()) for i, v in enumerate(x)]), [], Event()
+
+        def watch():
+            while not ended.wait(0.03):
+                with suppress(OSError):
+                    peak.append(used())
+
+        spark._jvm.System.gc()
+        time.sleep(1)
+        floor, thread = used(), Thread(target=watch)
+        thread.start()
+        vs.search(rows, tables=2)
+        ended.set()
+        thread.join()
+        return max(peak) - floor
+
+    most(500)  # code is compiled, files of the session exist
+    assert most(12_000) < 6 * most(3_000)
